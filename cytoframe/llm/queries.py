@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytoframe.llm import packing
+from cytoframe.llm import language, packing, similarity
 from cytoframe.llm.tables import read_table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.join(read_table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op3_language_id": op3_language_id,
         "op10_packing": op10_packing,
     }
 
