@@ -1,22 +1,55 @@
-"""A corpus pipeline over ``documents``: each stage's rows are written as Parquet and read by the next."""
+"""A corpus pipeline over ``documents``; each stage's rows are written as Parquet and read again as the next one's input."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cytoframe.llm import packing
+from cytoframe.llm import decontamination, language, packing, privacy, similarity
+from cytoframe.llm.tables import read_table, scratch_folder
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without one go."""
+    return language.keep_identified(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return similarity.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates in place of personal data."""
+    return privacy.anonymise(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(docs)
 
 
-STAGES = [("packing", packing_stage)]
+STAGES = [
+    ("language ID", language_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("PII", privacy_stage),
+    ("packing", packing_stage),
+]
+#: Context trees, chosen paths and tokenisers are beyond SQL; tests hold the rows against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = read_table(spark, sf_dir, "documents")
+    folder = f"{scratch_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs

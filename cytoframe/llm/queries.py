@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytoframe.llm import language, packing, similarity
+from cytoframe.llm import chat, decontamination, html, language, packing, privacy, quality, rules, similarity, toxicity
 from cytoframe.llm.tables import read_table
 
 
@@ -14,21 +14,46 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.join(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_conversations(chat.with_probe(read_table(spark, sf_dir, "conversations"))))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.anonymise(read_table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_ngram_jaccard": op1_ngram_jaccard,
-        "op3_language_id": op3_language_id,
-        "op10_packing": op10_packing,
-    }
+    found = (op1_ngram_jaccard, op2_quality_classifier, op3_language_id, op4_html_extraction, op5_quality_rules, op6_toxicity, op7_chat_formatting, op8_pii, op9_decontamination, op10_packing)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_chat_formatting": chat.ORACLE_SQL, "op9_decontamination": decontamination.ORACLE_SQL}

@@ -20,15 +20,17 @@ def hash_share(column: str, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the folder that the session names for checkpoints.
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where a session
-    has none, as in tests, is one set here, below Spark's warehouse folder.
+    Only where a session names none, as in tests, is it below Spark's warehouse.
     """
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with files in the shared folder, which survive the loss of executors."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
-        context.setCheckpointDir(folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(scratch_folder(spark))
     return df.checkpoint(eager=True)
