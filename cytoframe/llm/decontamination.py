@@ -13,9 +13,12 @@ WINDOWS_A_PASS = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 def words_of(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.array_remove(F.split(lowered, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    return F.array_remove(F.split(lowered, _NOT_WORD), "")
 
 
 def windows_of(benchmark: DataFrame) -> DataFrame:
@@ -33,7 +36,7 @@ def _sql_set(values: list, quote: bool) -> str:
 
 
 def with_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``docs`` with n_words and hits, an array of (at, len, window) of verified windows of the benchmark.
+    """``docs`` with scanned: n_words and hits, an array of (at, len, window) of verified windows of the benchmark.
 
     The window hashes go to every task as a hash set, in passes of at most
     ``WINDOWS_A_PASS``; a hash that is in it is verified by its words.
@@ -41,19 +44,21 @@ def with_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     unique = checkpointed(windows.select("len", "window", F.xxhash64("window").alias("h")).distinct())
     total = unique.count()
     passes = max(1, -(-total // WINDOWS_A_PASS))
-    found = docs.withColumn("_words", words_of(F.col("text"))).withColumn("n_words", F.size("_words").cast("long"))
     arrays = []
     for k in range(passes):
         rows = unique.where(F.pmod(F.col("h"), F.lit(passes)) == k).collect() if total else []
         for length in sorted({r.len for r in rows}):
             mine = [r for r in rows if r.len == length]
-            hashes = _sql_set(sorted({hash_ for hash_ in (r.h for r in mine)}), False)
+            hashes = _sql_set(sorted({r.h for r in mine}), False)
             spelled = _sql_set(sorted(r.window for r in mine), True)
-            joined = f"array_join(slice(_words, i, {length}), ' ')"
-            at = f"filter(sequence(1, size(_words) - {length - 1}), i -> xxhash64({joined}) IN ({hashes}) AND {joined} IN ({spelled}))"
-            arrays.append(F.expr(f"CASE WHEN size(_words) >= {length} THEN transform({at}, i -> struct(i AS at, {length} AS len, {joined} AS window)) ELSE array() END"))
-    hits = F.concat(*arrays) if arrays else F.expr("cast(array() AS array<struct<at: int, len: int, window: string>>)")
-    return found.withColumn("hits", hits).drop("_words")
+            joined = f"array_join(slice(w, i, {length}), ' ')"
+            at = f"filter(sequence(1, size(w) - {length - 1}), i -> xxhash64({joined}) IN ({hashes}) AND {joined} IN ({spelled}))"
+            arrays.append(f"CASE WHEN size(w) >= {length} THEN transform({at}, i -> struct(i AS at, {length} AS len, {joined} AS window)) ELSE array() END")
+    hits = f"concat({', '.join(arrays)})" if arrays else "cast(array() AS array<struct<at: int, len: int, window: string>>)"
+    # The lambda binds the words, so that no rewrite of the plan evaluates them again for each window.
+    words = f"array_remove(split(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), r'{_NOT_WORD}'), '')"
+    scanned = F.expr(f"transform(array({words}), w -> struct(cast(size(w) AS bigint) AS n_words, {hits} AS hits))[0]")
+    return docs.withColumn("scanned", scanned)
 
 
 def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -64,7 +69,7 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     each.  An empty benchmark hits nothing.  Extra columns are not read.
     """
     windows = checkpointed(windows_of(benchmark))
-    found = with_hits(documents.select("doc_id", "text"), windows).select("doc_id", "n_words", "hits")
+    found = with_hits(documents.select("doc_id", "text"), windows).select("doc_id", "scanned.n_words", "scanned.hits")
     found = checkpointed(found).withColumn("row", F.monotonically_increasing_id())
     clean = found.where(F.size("hits") == 0).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
     hit = found.where(F.size("hits") > 0)
@@ -85,7 +90,7 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     columns = documents.columns
     held = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
     found = with_hits(documents.select(*held, F.col("text").alias("text")), windows_of(benchmark))
-    return found.where(F.size("hits") == 0).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    return found.where(F.size("scanned.hits") == 0).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 ORACLE_SQL = r"""
