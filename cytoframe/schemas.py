@@ -2,34 +2,71 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
+_PLAIN = {"string": T.StringType, "int": T.IntegerType, "long": T.LongType, "double": T.DoubleType, "boolean": T.BooleanType, "timestamp": T.TimestampType}
+
+
+def _schema(text: str) -> T.StructType:
+    """A schema from its short form, without a session: ``name type`` or ``name: type`` with commas between."""
+    tokens = re.findall(r"\w+|[<>,]", text)
+
+    def kind() -> T.DataType:
+        word = tokens.pop(0)
+        if word in _PLAIN:
+            return _PLAIN[word]()
+        tokens.pop(0)
+        if word == "array":
+            out: T.DataType = T.ArrayType(kind())
+        elif word == "map":
+            key = kind()
+            tokens.pop(0)
+            out = T.MapType(key, kind())
+        else:
+            out = fields()
+        tokens.pop(0)
+        return out
+
+    def fields() -> T.StructType:
+        out = []
+        while tokens and tokens[0] != ">":
+            if tokens[0] == ",":
+                tokens.pop(0)
+            name = tokens.pop(0)
+            out.append(T.StructField(name, kind()))
+        return T.StructType(out)
+
+    return fields()
+
+
 BBOX = ("bbox_min_row", "bbox_min_col", "bbox_max_row", "bbox_max_col")
 
-PLANES = T._parse_datatype_string("image_id string, channel string, height int, width int, dtype string, page int, pixels array<double>, info string, error string")
-PIXELS = T._parse_datatype_string("image_id string, channel string, y int, x int, value double")
-MASK_PIXELS = T._parse_datatype_string("image_id string, label int, y int, x int")
-MASKS = T._parse_datatype_string("image_id string, height int, width int, labels array<int>")
-CELL = T._parse_datatype_string(
+PLANES = _schema("image_id string, channel string, height int, width int, dtype string, page int, pixels array<double>, info string, error string")
+PIXELS = _schema("image_id string, channel string, y int, x int, value double")
+MASK_PIXELS = _schema("image_id string, label int, y int, x int")
+MASKS = _schema("image_id string, height int, width int, labels array<int>")
+CELL = _schema(
     "label int, cell_id string, included boolean, override string, note string, failure_reasons array<string>, bbox array<int>, centroid array<double>, touching_edge boolean,"
     " metrics struct<area: double, area_px: double, length_um: double, width_um: double, aspect_ratio: double, eccentricity: double, solidity: double, sinuosity: double, intensity: map<string, double>>,"
     " is_central boolean, distance_to_center_px double"
 )
 METADATA = T.StructType([T.StructField("image_id", T.StringType()), T.StructField("source_path", T.StringType()), T.StructField("central_label", T.IntegerType()), T.StructField("cells", T.ArrayType(CELL))])
-BATCH_MANIFEST = T._parse_datatype_string("batch string, source_path string, link_path string")
-CROP_MANIFEST = T._parse_datatype_string(
+BATCH_MANIFEST = _schema("batch string, source_path string, link_path string")
+CROP_MANIFEST = _schema(
     "Cell_ID string, cell_hash string, segmentation_run_hash string, source_image string, image_id string, label int, source_path string, crop_path string, mask_path string,"
     " bbox_min_row int, bbox_min_col int, bbox_max_row int, bbox_max_col int, centroid_row double, centroid_col double, crop_size int, channels string, included boolean"
 )
-CLASSIFICATION = T._parse_datatype_string("Cell_ID string, crop_path string, predicted_class string, confidence double, p_background double, p_cell double, p_noncell double, predicted_cell boolean")
-LOOKUP = T._parse_datatype_string(
+CLASSIFICATION = _schema("Cell_ID string, crop_path string, predicted_class string, confidence double, p_background double, p_cell double, p_noncell double, predicted_cell boolean")
+LOOKUP = _schema(
     "cell_id string, hash string, source_path string, source_filename string, mask_label int, bbox_min_row int, bbox_min_col int, bbox_max_row int, bbox_max_col int, plate string, scene string, position string, created_at timestamp"
 )
-PROFILES = T._parse_datatype_string("cell_id string, channel string, profile_kind string, n_points int, profile array<double>")
-PUNCTA = T._parse_datatype_string("cell_id string, channel string, punctum_id int, y_px double, x_px double, sigma_px double, peak_intensity double, axial_s double, radial_r double")
-FEATURES_LONG = T._parse_datatype_string("cell_id string, feature string, value double")
-PADMAP = T._parse_datatype_string("padmap_id string, padmap_drug string")
-OVERLAP = T._parse_datatype_string("frame1_id string, frame2_id string, overlap_area long, frame1_area long, frame2_area long, frame1_overlap_frac double, frame2_overlap_frac double, iou double")
+PROFILES = _schema("cell_id string, channel string, profile_kind string, n_points int, profile array<double>")
+PUNCTA = _schema("cell_id string, channel string, punctum_id int, y_px double, x_px double, sigma_px double, peak_intensity double, axial_s double, radial_r double")
+FEATURES_LONG = _schema("cell_id string, feature string, value double")
+PADMAP = _schema("padmap_id string, padmap_drug string")
+OVERLAP = _schema("frame1_id string, frame2_id string, overlap_area long, frame1_area long, frame2_area long, frame1_overlap_frac double, frame2_overlap_frac double, iou double")
 DIAGNOSTICS = ("Cell_ID", "image_id", "label", "included", "filter_passed", "filter_reasons", "predicted_class", "p_cell", "area_px", "aspect_ratio", "length_um", "width_um")
 
 INTENSITY = ("mean", "median", "std", "var", "min", "max", "range", "q1", "q3", "iqr", "p5", "p95", "cv", "skewness", "kurtosis", "entropy")
