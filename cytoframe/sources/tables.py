@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,10 +71,15 @@ def cell_table(spark: SparkSession, csv_path: str | None, json_path: str | None,
     return flatten_cells(read_metadata(spark, json_path)) if json_path else None
 
 
+def by_label(cells: Column) -> Column:
+    """Structs by their label; other fields may be of types without an order."""
+    return F.array_sort(cells, lambda a, b: F.when(a["label"] < b["label"], -1).when(a["label"] > b["label"], 1).otherwise(0))
+
+
 def metadata_documents(cells: DataFrame, image_columns: tuple[str, ...] = ("image_id", "source_path")) -> DataFrame:
     """One document for each image: its counts and its cells, sorted by label."""
     own = [c for c in cells.columns if c not in image_columns]
-    return cells.groupBy(*image_columns).agg(F.count("*").alias("n_cells_total"), F.count_if("included").alias("n_cells_filtered"), F.sort_array(F.collect_list(F.struct("label", *[c for c in own if c != "label"]))).alias("cells"))
+    return cells.groupBy(*image_columns).agg(F.count("*").alias("n_cells_total"), F.count_if("included").alias("n_cells_filtered"), by_label(F.collect_list(F.struct("label", *[c for c in own if c != "label"]))).alias("cells"))
 
 
 def first_existing(candidates: DataFrame, listing: DataFrame, key: str) -> DataFrame:

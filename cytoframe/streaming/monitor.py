@@ -36,17 +36,23 @@ def stalls(stream: DataFrame, key: str = "name", time: str = "ts", timeout_s: fl
             state.update((count, last, True))
             yield pd.DataFrame([(k[0], count, last, "stalled")], columns=["name", "count", "since", "event"])
             return
-        was = warned
-        for f in frames:
-            count += len(f)
-            last = max(last, f["_at"].max())
-        warned = False
+        times = sorted(t for f in frames for t in f["_at"])
+        found = []
+        for at in times:
+            # A pause that ended before its timer could fire is told when it ends.
+            if count and at - last > timeout_s:
+                found += [] if warned else [(k[0], count, last, "stalled")]
+                warned = True
+            count += 1
+            last = max(last, at)
+            if warned:
+                found.append((k[0], count, last, "resumed"))
+                warned = False
         state.update((int(count), float(last), False))
         due = int((last + timeout_s) * 1000)
-        if due > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(due)
-        if was:
-            yield pd.DataFrame([(k[0], count, last, "resumed")], columns=["name", "count", "since", "event"])
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        if found:
+            yield pd.DataFrame(found, columns=["name", "count", "since", "event"])
 
     timed = stream.select(F.col(key).cast("string").alias("name"), F.col(time).cast("timestamp").alias("_ts"))
     timed = timed.withWatermark("_ts", "0 seconds").withColumn("_at", F.unix_micros("_ts") / 1e6)
