@@ -110,7 +110,7 @@ def rounded(df: DataFrame, digits: int = 6, **own: int) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells through rules, labels and numbering: each label's cells, their mean area and last id."""
     rules = {"area_px": {"min": 5, "max": 45}, "aspect_ratio": {"min": 0.01}, "l_linestatus": "O"}
-    passed = FL.filter_cells(cells(spark, sf_dir), rules).where("filter_passed").withColumn("padmap_id", F.col("l_partkey").cast("string"))
+    passed = FL.keep_passing(cells(spark, sf_dir), rules).withColumn("padmap_id", F.col("l_partkey").cast("string"))
     labelled = L.apply_registry(passed, registry(spark, sf_dir)).withColumn("Cell_ID", F.lit("sc_none"))
     numbered = L.numbered_ids(labelled, "drug", tuple(KEYS))
     n = F.substring_index("Cell_ID", "_", -1).try_cast("long")
@@ -137,6 +137,11 @@ def filter_rules_reasons(spark, sf_dir):
     return FL.filter_cells(cells(spark, sf_dir), RULES).select(*KEYS, "filter_passed", "filter_reasons", "included")
 
 
+@query(f"WITH {CELLS_SQL} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM cells WHERE {REASONS_SQL} = ''")
+def filter_pushdown(spark, sf_dir):
+    return FL.keep_passing(cells(spark, sf_dir), RULES).select(*KEYS)
+
+
 @query(f"WITH {CELLS_SQL}, f AS (SELECT {REASONS_SQL} = '' AS ok FROM cells) SELECT count(*) AS n_cells, count(*) FILTER (ok) AS n_passed, count(*) FILTER (NOT ok) AS n_failed FROM f")
 def filter_summary(spark, sf_dir):
     return FL.filter_summary(FL.filter_cells(cells(spark, sf_dir), RULES))

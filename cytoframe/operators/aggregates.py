@@ -20,11 +20,39 @@ def wide_matrix(long: DataFrame, key: str = "cell_id", most: int = 10_000) -> Da
     return long.groupBy("feature").pivot(key, ids).agg(F.first("value")).orderBy("feature")
 
 
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: list[float], name: str = "q") -> DataFrame:
+    """(keys, name array<double>): exact percentiles of groups of any size, linear between the closest ranks.
+
+    Equal values are counted first; the counts are sorted by ranges, and each
+    range's sum says which ranks it holds.  No task and no buffer holds a group.
+    """
+    from cytoframe.plans.checkpoints import checkpointed
+
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    order = [*keys, "_v"]
+    parts = checkpointed(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    own = Window.partitionBy(*keys)
+    sizes = parts.groupBy(*keys, "_part").agg(F.sum("_n").alias("_s"))
+    before = F.coalesce(F.sum("_s").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(*keys, "_part", before.alias("_start"), F.sum("_s").over(own).alias("_total"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = parts.withColumn("_upto", upto).join(starts, [*keys, "_part"])
+    last = F.col("_start") + F.col("_upto") - 1
+    first = last - F.col("_n") + 1
+    out = []
+    for share in shares:
+        at = (F.col("_total") - 1) * float(share)
+        low, high = F.floor(at), F.ceil(at)
+        weight = F.when(low.between(first, last), 1 - (at - low)).otherwise(0.0) + F.when(high.between(first, last), at - low).otherwise(0.0)
+        out.append(F.sum(F.when(weight > 0, F.col("_v") * weight).otherwise(0.0)))
+    return rows.groupBy(*keys).agg(F.array(*out).alias(name)) if keys else rows.agg(F.array(*out).alias(name))
+
+
 def feature_summary(long: DataFrame) -> DataFrame:
     """Each feature's mean, sample deviation, limits, quartiles, count and share of missing values."""
     v = F.col("value")
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy("feature").agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), q.alias("_q"), F.count(v).alias("n_valid"), F.round(100 * F.avg(v.isNull().cast("int")), 2).alias("pct_missing"))
+    out = long.groupBy("feature").agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("n_valid"), F.round(100 * F.avg(v.isNull().cast("int")), 2).alias("pct_missing"))
+    out = out.join(percentiles(long, ["feature"], "value", [0.25, 0.5, 0.75], "_q"), "feature", "left")
     return out.select("feature", "mean", "std", "min", "max", *[F.get("_q", i).alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "n_valid", "pct_missing")
 
 
@@ -138,7 +166,7 @@ def axial_positions(puncta: DataFrame, midlines: DataFrame, key: str = "cell_id"
 
 def length_bins(df: DataFrame, length: str, value: str, bins: int = 5) -> DataFrame:
     """Median of a value in quantile bins of length, bins half open."""
-    edges = df.agg(F.percentile(length, F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("_e"))
+    edges = percentiles(df, [], length, [i / bins for i in range(1, bins)], "_e")
     at = df.join(F.broadcast(edges), how="cross").withColumn("bin", F.size(F.filter("_e", lambda e: e <= F.col(length))))
     return at.groupBy("bin").agg(F.count("*").alias("n"), F.median(value).alias("median"))
 

@@ -13,12 +13,18 @@ from cytoframe.plans import rules as R
 
 def filter_cells(cells: DataFrame, config: dict[str, Any], require_included: bool = True, scale: float = 1.0) -> DataFrame:
     """``cells`` with filter_passed, filter_reasons and included by the rules; no row goes."""
-    found = R.reasons(R.scaled(R.normalized(config), scale), cells.columns, require_included)
+    found = R.reasons(R.scaled(R.normalized(config), scale), dict(cells.dtypes), require_included)
     out = cells.withColumn("_reasons", found)
     passed = F.size("_reasons") == 0
     return out.withColumns({"filter_passed": passed, "filter_reasons": F.array_join("_reasons", ";"), "included": passed}).drop("_reasons")
 
 
+def keep_passing(cells: DataFrame, config: dict[str, Any], require_included: bool = True, scale: float = 1.0) -> DataFrame:
+    """The cells that pass, without reasons: bare predicates that reach the scan."""
+    tests = R.predicates(R.scaled(R.normalized(config), scale), dict(cells.dtypes), require_included)
+    return cells.where(reduce(lambda a, b: a & b, tests)) if tests else cells
+
+
 def filter_summary(filtered: DataFrame) -> DataFrame:
     return filtered.agg(F.count("*").alias("n_cells"), F.count_if("filter_passed").alias("n_passed"), F.count_if(~F.col("filter_passed")).alias("n_failed"))
 

@@ -44,7 +44,7 @@ def cells_of(masks: DataFrame, sources: DataFrame, run: Run) -> DataFrame:
 def finish(cells: DataFrame, run: Run, registry: DataFrame | None = None, classes: DataFrame | None = None) -> DataFrame:
     """Filter, classify, label and number cells."""
     if run.filter.enabled:
-        cells = filtering.filter_cells(cells, run.filter.rules, run.filter.require_included, run.scale).where("filter_passed")
+        cells = filtering.keep_passing(cells, run.filter.rules, run.filter.require_included, run.scale)
     if classes is not None:
         cells = filtering.filter_classified(joins.join_classes(cells, classes), run.classifier.threshold, run.classifier.keep_class)
     if registry is not None:

@@ -48,17 +48,26 @@ def scaled(rules: dict[str, dict[str, Any]], factor: float) -> dict[str, dict[st
     return out
 
 
-def reason(column: str, rule: dict[str, Any], present: bool) -> Column:
-    """Why a row fails a rule, or null."""
-    if not present:
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _number(column: str, kind: str) -> Column:
+    """A column as a double; texts that are no numbers are null, and only texts take the long way."""
+    value = F.col(f"`{column}`")
+    return value.cast("double") if kind in _NUMBERS else value.cast("string").try_cast("double")
+
+
+def reason(column: str, rule: dict[str, Any], kind: str | None) -> Column:
+    """Why a row fails a rule, or null; ``kind`` is the column's type, None where a table lacks it."""
+    if kind is None:
         return F.lit(f"{column}:missing")
     value = F.col(f"`{column}`")
     if "equals" in rule:
-        expected = rule["equals"]
-        ok = (as_bool(value) == expected) if isinstance(expected, bool) else (value.cast("string") == str(expected))
-        return F.when(~F.coalesce(ok, F.lit(False)), f"{column}:expected_{expected}")
-    number = value.cast("string").try_cast("double")
-    out = F.when(value.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), f"{column}:not_finite").when(number.isNull(), f"{column}:not_numeric")
+        return F.when(~F.coalesce(_equal(value, rule["equals"]), F.lit(False)), f"{column}:expected_{rule['equals']}")
+    number = _number(column, kind)
+    out = F.when(value.isNull() | F.isnan(number) | (F.abs(number) == float("inf")), f"{column}:not_finite")
+    if kind not in _NUMBERS:
+        out = out.when(number.isNull(), f"{column}:not_numeric")
     if rule.get("min") is not None:
         out = out.when(number < float(rule["min"]), f"{column}:below_min")
     if rule.get("max") is not None:
@@ -66,13 +75,38 @@ def reason(column: str, rule: dict[str, Any], present: bool) -> Column:
     return out
 
 
-def reasons(rules: dict[str, dict[str, Any]], columns: list[str], require_included: bool = False) -> Column:
-    """All reasons of a row, in the order of the rules."""
-    found = [F.when(~as_bool(F.col("included")), "momia_excluded")] if require_included and "included" in columns else []
-    found += [reason(c, r, c in columns) for c, r in rules.items()]
+def _equal(value: Column, expected: Any) -> Column:
+    return (as_bool(value) == expected) if isinstance(expected, bool) else (value.cast("string") == str(expected))
+
+
+def reasons(rules: dict[str, dict[str, Any]], kinds: dict[str, str], require_included: bool = False) -> Column:
+    """All reasons of a row, in the order of the rules; ``kinds`` are the table's columns and types."""
+    found = [F.when(~as_bool(F.col("included")), "momia_excluded")] if require_included and "included" in kinds else []
+    found += [reason(c, r, kinds.get(c)) for c, r in rules.items()]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
+def predicates(rules: dict[str, dict[str, Any]], kinds: dict[str, str], require_included: bool = False) -> list[Column]:
+    """The same test as conjuncts on bare columns, which a scan can take over."""
+    found = []
+    if require_included and "included" in kinds:
+        found.append(F.col("included") if kinds["included"] == "boolean" else as_bool(F.col("included")))
+    for c, rule in rules.items():
+        kind = kinds.get(c)
+        if kind is None:
+            found.append(F.lit(False))
+        elif "equals" in rule:
+            plain = kind == "string" and isinstance(rule["equals"], str) or kind == "boolean" and isinstance(rule["equals"], bool)
+            found.append(F.col(f"`{c}`") == rule["equals"] if plain else F.coalesce(_equal(F.col(f"`{c}`"), rule["equals"]), F.lit(False)))
+        else:
+            number = F.col(f"`{c}`") if kind in _NUMBERS else _number(c, kind)
+            low, high = rule.get("min"), rule.get("max")
+            # NaN is above every number, so that an upper bound, if only a finite one, keeps it out.
+            found.append(number <= (float(high) if high is not None else 1.7976931348623157e308))
+            found.append(number >= (float(low) if low is not None else -1.7976931348623157e308))
+    return found
+
+
 def number(value: Column) -> Column:
     """(value, status): ok, unavailable for null, invalid for what is no finite number."""
     v = value.cast("string").try_cast("double")

@@ -34,6 +34,19 @@ def test_rules_with_reasons(spark):
     assert [r.filter_reasons for r in f.collect()] == ["a:not_numeric;b:not_finite;gone:missing", "b:not_finite;gone:missing", "a:below_min;b:not_finite;gone:missing"]
 
 
+def test_predicates_agree_with_reasons(spark):
+    g = spark.createDataFrame([("x", None, True), ("7", float("nan"), True), ("5", float("inf"), True), ("7", 0.5, True), ("7", 0.5, False), (None, 1.0, None), ("8", -float("inf"), True)], "a string, b double, included boolean")
+    for config in ({"a": {"min": 6}, "b": {"max": 1}}, {"a": {"max": 7}}, {"b": {"min": 0}}, {"b": {}}, {"a": "7", "included": True}, {"gone": {"min": 1}}, {}):
+        want = FL.filter_cells(g, config).where("filter_passed").drop("filter_passed", "filter_reasons", "included")
+        assert sorted(map(str, want.collect())) == sorted(map(str, FL.keep_passing(g, config).drop("included").collect())), config
+
+
+def test_predicates_reach_the_scan(spark):
+    t = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("area_px", F.col("l_quantity"))
+    plan = FL.keep_passing(t, {"area_min": 10, "l_linestatus": "O"})._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_quantity,10.0)" in plan and "EqualTo(l_linestatus,O)" in plan
+
+
 @pytest.mark.parametrize("payload", [{"rules": {"area_px": {"min": 60, "max": 300}, "length_um": {"min": 1}}}, {"area_min": 60, "area_max": 300, "length_um_min": 1}, {"area": {"min": 60, "max": 300}, "length": {"min": 1}}])
 def test_rules_in_three_spellings_are_scaled_alike(payload):
     before = json.dumps(payload)
@@ -304,3 +317,15 @@ def test_siblings(spark):
     images = spark.createDataFrame([("a", "/d", "a")], "image_id string, dir string, base string")
     got = rows(J.channel_paths(images, s, ["Bod493", "Cy5"]).orderBy("rank", "channel").select("channel", "path"))
     assert got == [("Phase", "/d/a_Phase.tif"), ("Bod493", "/d/a_Bod493.tif"), ("Cy5", None), ("AF405", "/d/a_AF405.tif")]
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_percentiles_are_exact(spark, keys):
+    r = np.random.default_rng(8)
+    rows_ = [("a", float(v)) for v in r.integers(0, 9, 501)] + [("b", float(v)) for v in r.normal(size=300)] + [("c", 4.0), ("c", None), ("d", None)]
+    d = spark.createDataFrame(rows_, "k string, v double").repartition(5)
+    got = {(tuple(x)[:-1] or ("",))[0]: x.q for x in A.percentiles(d, keys, "v", [0.0, 0.05, 0.5, 0.77, 1.0]).collect()}
+    for k in ("a", "b", "c") if keys else ("",):
+        own = [v for g, v in rows_ if v is not None and (not keys or g == k)]
+        np.testing.assert_allclose(got[k], np.percentile(own, [0, 5, 50, 77, 100]), atol=1e-9)
+    assert "d" not in got
