@@ -43,6 +43,7 @@ def test_predicates_agree_with_reasons(spark):
 
 def test_predicates_reach_the_scan(spark):
     t = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").withColumn("area_px", F.col("l_quantity"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
     plan = FL.keep_passing(t, {"area_min": 10, "l_linestatus": "O"})._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_quantity,10.0)" in plan and "EqualTo(l_linestatus,O)" in plan
 
