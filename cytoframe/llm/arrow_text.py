@@ -70,13 +70,19 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     size = 1 << max(10, (n + 1).bit_length())
-    if size not in _POWERS:
+    if size in _POWERS:
+        return _POWERS[size]
+    if size > 1 << 22:  # a single very long text: its powers are not kept
+        size = n + 1
+    else:
         _POWERS.clear()
-        inverse = np.uint64(pow(int(WORD_BASE), -1, 1 << 64))
-        up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
-        up[1:], down[1:] = WORD_BASE, inverse
-        _POWERS[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _POWERS[size]
+    inverse = np.uint64(pow(int(WORD_BASE), -1, 1 << 64))
+    up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
+    up[1:], down[1:] = WORD_BASE, inverse
+    found = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    if size <= 1 << 22:
+        _POWERS[size] = found
+    return found
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

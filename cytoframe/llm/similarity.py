@@ -195,8 +195,10 @@ def _exact_rows(table: pa.Table, threshold: float) -> pa.RecordBatch:
             dense = np.zeros((len(own), min(2048, n_columns - low)), np.float32)
             dense[row[a:b], column[a:b] - low] = 1
             common += dense @ dense.T
-        union = sizes[:, None] + sizes[None, :] - common
-        linked = common >= threshold * union - 1e-6
+        linked = np.empty(common.shape, bool)
+        for low in range(0, len(own), 256):  # common / (a + b - common) >= threshold, a strip at a time
+            strip = common[low : low + 256].astype(np.float64)
+            linked[low : low + 256] = strip * (1 + threshold) >= threshold * (sizes[low : low + 256, None] + sizes[None, :]) - 1e-6
         np.fill_diagonal(linked, False)
         if left[start] != right[start]:
             linked &= block[at][:, None] != block[at][None, :]
@@ -240,7 +242,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return vertices.join(labels, vertices.id == labels.a, "left").select("id", F.coalesce("label", "id").alias("label"))
 
 
-def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 2048, depths: int = 3) -> DataFrame:
+def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 1024, block_shingles: int = 2_000_000, depths: int = 3) -> DataFrame:
     """One row for each row of ``docs``: doc_id, class_id, copy_id, n_links.
 
     ``class_id`` is the least doc_id of the row's class, the component of links;
@@ -262,7 +264,7 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(ids), pa.array(sizes.astype(np.int64)), fixed_binary(signature)], names=["doc_id", "set_id", "n", "signature"])
 
     rows = checkpointed(documents.mapInArrow(embed, "doc_id long, set_id long, n long, signature binary"))
-    sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"))
+    sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
     one = rows.where("n > 0").join(sets.where("copy_id is not null"), "set_id").where("doc_id = copy_id").select("set_id", "signature")
 
     runs = math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, 2)))
@@ -311,8 +313,9 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
             at = again.mapInArrow(step(False), "node long, set_id long, sketch binary")
 
     grouped = checkpointed(components(edges))
-    totals = grouped.groupBy("label").agg(F.count("*").alias("size"))
-    members = grouped.join(totals, "label").join(sets.withColumnRenamed("set_id", "id"), "id").select(F.col("copy_id").alias("doc_id"), F.col("id").alias("set_id"), F.col("label").alias("comp"), F.ceil(F.col("size") / block).cast("int").alias("blocks"), "copies")
+    candidates = grouped.join(sets.withColumnRenamed("set_id", "id"), "id")
+    totals = candidates.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_shingles)).cast("int").alias("blocks"))
+    members = candidates.join(totals, "label").select(F.col("copy_id").alias("doc_id"), F.col("id").alias("set_id"), F.col("label").alias("comp"), "blocks", "copies")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
