@@ -30,12 +30,14 @@ GIVEN_NAMES = {
 #: In order of precedence at one place of a text.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[bap]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[bap]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d)(?!\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    # what an assignment to a word for secrets gives, if it holds a digit
+    "credential": r"(?<=[=:]\s{0,3}[\"']?)(?<=(?i:key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[^\s\"']{0,80}\d)[A-Za-z0-9_\-/+=.~!@#$%^&*]{6,200}",
     "name": r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -119,8 +121,9 @@ def _name(name: Column, key: str) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    kind = F.lit("name")
-    for name, pattern in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
+    """A credential is told by what stands before it, so that it is all that nothing else is."""
+    kind = F.lit("credential")
+    for name, pattern in reversed([x for x in PATTERNS.items() if x[0] != "credential"]):
         kind = F.when(entity.rlike(r"\A(?:" + pattern + r")\z"), name).otherwise(kind)
     return kind
 

@@ -54,6 +54,13 @@ def test_different_entities_stay_different(spark):
     assert P.collisions(P.entities(docs, KEY)).where("n > 1").count() == 0 and P.checked_key(docs, KEY) == KEY
 
 
+def test_credentials(spark):
+    text = 'api_key = "Ab3dEf6hIj" password: hunter2x token=plainword secret : 12 key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" monkey: a1b2c3d4'
+    new = P.anonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), KEY).first().text
+    assert "token=plainword secret : 12" in new and "Ab3dEf6hIj" not in new and "hunter2x" not in new and "24be64439e" not in new
+    assert re.search(r'api_key = "[A-Z][a-z]\d[a-z][A-Z][a-z]\d[a-z][A-Z][a-z]" password: [a-z]{6}\d[a-z] ', new) and re.search(r'key = "[0-9a-f]{40}"', new)
+
+
 def test_texts_change_in_their_entities_alone(spark):
     text = "Call +1 (743) 555-3824 or mail a.b@c.org, a.b@c.org! On 2024-01-02 at 10:30 we sold 1,234 items (v1.2.3). IP 8.8.8.8."
     rows = [(1, text, "x"), (2, None, "x"), (3, "", "x"), (4, "clean text", "x"), (5, "again a.b@c.org", "x"), (5, "again a.b@c.org", "x"), (6, "8.8.8.8" + " word" * 50000, "x"), (7, "a.b@c.org", "x")]
