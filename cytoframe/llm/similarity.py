@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.llm.arrow_text import mix, shingle_hashes, text_slices, word_hashes, word_spans
@@ -143,7 +143,7 @@ class Forest:
 
 
 def _candidate_stars(table: pa.Table, least: int) -> pa.RecordBatch:
-    """For each leaf, the components of pairs with ``least`` equal coordinates: (member, root)."""
+    """For each leaf, the components of pairs with ``least`` equal coordinates: (member, least member)."""
     keys = [table.column(i).to_numpy() for i in range(3)]
     ids = table.column("set_id").to_numpy()
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, COORDINATES)
@@ -162,17 +162,19 @@ def _candidate_stars(table: pa.Table, least: int) -> pa.RecordBatch:
                 forest.join(a, a + k)
         k += 1
         alive = alive[room[alive] >= k]
-    moved = np.flatnonzero(forest.labels != np.arange(len(ids)))
-    moved = moved[ids[moved] != ids[forest.labels[moved]]]
-    return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[forest.labels[moved]])], names=["a", "b"])
+    least_id = ids.copy()
+    np.minimum.at(least_id, forest.labels, ids)
+    root = least_id[forest.labels]
+    moved = ids != root
+    return pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(root[moved])], names=["a", "b"])
 
 
 def _exact_rows(table: pa.Table, threshold: float) -> pa.RecordBatch:
-    """Links and a spanning forest of the links in each block pair: (set_id, links, other)."""
-    comp, left, right, block, ids, copies = (table.column(i).to_numpy() for i in range(6))
-    sets = table.column(6)
+    """Links and a spanning forest of the links in each block pair: (set_id, links, least linked set, blocks)."""
+    comp, left, right, block, ids, copies, blocks = (table.column(i).to_numpy() for i in range(7))
+    sets = table.column(7)
     new = np.flatnonzero((comp[1:] != comp[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])) + 1
-    out_id, out_links, out_other = [], [], []
+    out_id, out_links, out_other, out_blocks = [], [], [], []
     for start, end in zip(np.append(0, new), np.append(new, len(ids)), strict=True):
         _, at = np.unique(ids[start:end], return_index=True)
         at = at + start
@@ -209,37 +211,34 @@ def _exact_rows(table: pa.Table, threshold: float) -> pa.RecordBatch:
         out_id.append(ids[at])
         out_links.append(links.astype(np.int64))
         out_other.append(ids[at][forest.labels])
+        out_blocks.append(blocks[at])
     if not out_id:
-        out_id, out_links, out_other = ([np.zeros(0, np.int64)] for _ in range(3))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_id, out_links, out_other)], names=["set_id", "links", "other"])
+        out_id, out_links, out_other, out_blocks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_id, out_links, out_other, out_blocks)], names=["set_id", "links", "other", "blocks"])
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, label) of each vertex of ``edges`` (a, b): the least id of its component.
 
-    Alternating large and small stars: each round moves every vertex to the least
-    id around it, by aggregation and joins alone, until no edge changes.
+    Alternating small and large stars on edges from a vertex to a lesser one.
+    Small: the lesser ends of a vertex, and it, go to the least of them.  Large:
+    an edge goes on to the least end that its lesser vertex has.  By aggregation
+    and joins alone, until every vertex has one edge, to one that has none.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = checkpointed(edges)
-    vertices = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    ends = Window.partitionBy("a")
     for _ in range(most_rounds):
-        if not mark[0]:
+        small = edges.withColumn("m", F.min("b").over(ends))
+        small = checkpointed(small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
+        least = small.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumnRenamed("a", "u")
+        large = checkpointed(small.join(least, small.b == least.u, "left").select("a", "b", F.coalesce("m", "b").alias("to")))
+        # Nothing went on, and no vertex has two ends: then each edge leads to a root.
+        if not large.where("b <> to").take(1) and not least.where("n > 1").take(1):
             break
-        both = edges.union(edges.select("b", "a").toDF("a", "b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(least, both.a == least.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.union(least.where("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        small = large.join(low, large.a == low.u).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = checkpointed(small.union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
-    labels = edges.groupBy("a").agg(F.min("b").alias("label"))
-    return vertices.join(labels, vertices.id == labels.a, "left").select("id", F.coalesce("label", "id").alias("label"))
+        edges = large.select("a", F.col("to").alias("b")).distinct()
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    return large.select(F.col("a").alias("id"), F.col("b").alias("label")).union(large.select("b", "b")).distinct()
 
 
 def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 1024, block_shingles: int = 2_000_000, depths: int = 3) -> DataFrame:
@@ -303,7 +302,7 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
         own = F.pmod(F.xxhash64("set_id", "node"), blocks).cast("int")
         ready = ready.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         ready = ready.select("node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_id", "sketch")
-        found = checkpointed(ready.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(leaves, "a long, b long").distinct())
+        found = checkpointed(ready.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(leaves, "a long, b long"))
         edges = found if edges is None else edges.union(found)
         if depth < depths:
             large = sized.where(F.col("size") > leaf).select("node", "set_id").distinct()
@@ -333,18 +332,26 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     shingled = texts.mapInArrow(shingle, "set_id long, comp long, blocks int, copies long, shingles binary")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     dealt = shingled.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("block"), "set_id", "copies", "shingles")
+    dealt = dealt.select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.col("own").alias("block"), "set_id", "copies", "blocks", "shingles")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 3, 2_000):
             yield _exact_rows(table, threshold)
 
-    checked = checkpointed(dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(exact, "set_id long, links long, other long"))
-    linked = checked.groupBy("set_id").agg(F.sum("links").alias("links"))
-    classes = components(checked.select(F.col("set_id").alias("a"), F.col("other").alias("b")))
-    named = classes.join(sets.withColumnRenamed("set_id", "id"), "id")
-    named = named.join(named.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label").select(F.col("id").alias("set_id"), "class_id")
-    facts = sets.join(linked, "set_id", "left").join(named, "set_id", "left").select("set_id", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    checked = checkpointed(dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(exact, "set_id long, links long, other long, blocks int"))
+    # A group in one block has its classes; those of several blocks meet in components.
+    several = checked.where("blocks > 1 and set_id <> other").select(F.col("set_id").alias("a"), F.col("other").alias("b"))
+    labels = checked.where("blocks = 1").select("set_id", F.col("other").alias("label"))
+    if several.take(1):
+        labels = labels.union(components(several).select(F.col("id").alias("set_id"), "label"))
+    none = F.lit(None).cast("long")
+    parts = sets.select("set_id", "copy_id", "copies", none.alias("links"), none.alias("label"))
+    parts = parts.union(checked.select("set_id", none, none, "links", none)).union(labels.select("set_id", none, none, none, "label"))
+    facts = parts.groupBy("set_id").agg(F.max("copy_id").alias("copy_id"), (F.max("copies") - 1 + F.coalesce(F.sum("links"), F.lit(0))).alias("n_links"), F.min("label").alias("label"))
+    facts = checkpointed(facts)
+    named = facts.where("label is not null")
+    named = named.join(named.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label").select("set_id", "copy_id", "class_id", "n_links")
+    facts = named.union(facts.where("label is null").select("set_id", "copy_id", F.col("copy_id").alias("class_id"), "n_links"))
     with_words = rows.where("n > 0").select("doc_id", "set_id").join(facts, "set_id").select("doc_id", "class_id", "copy_id", "n_links")
     without = rows.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
     return with_words.union(without)
