@@ -46,10 +46,18 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, read from its files; those of the stages before it are removed once they were used."""
     docs = read_table(spark, sf_dir, "documents")
     folder = f"{scratch_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        if k:
+            _remove(spark, f"{folder}/{k - 1}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return docs
