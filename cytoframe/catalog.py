@@ -224,12 +224,12 @@ def rank_groups(spark, sf_dir):
     return B.rank_groups(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 6, "o_totalprice", "o_orderkey").select("o_orderkey", "group")
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN h < 80 THEN 'train' WHEN h < 90 THEN 'val' ELSE 'test' END AS split FROM (SELECT doc_id, CAST('0x' || substr(md5('0/' || doc_id), 1, 8) AS BIGINT) % 100 AS h FROM documents)")
 def split_hash_bucket(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", B.hash_split(F.col("doc_id")).alias("split"))
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY CAST('0x' || substr(md5('7/' || o_orderkey), 1, 8) AS BIGINT), o_orderkey LIMIT 100")
 def seeded_sample(spark, sf_dir):
     return B.sample_rows(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 100, 7)
 
@@ -554,7 +554,10 @@ def box_statistics(spark, sf_dir):
     return b.select("image_id", "y", "x", F.round("local_mean", 5).alias("local_mean"), F.round("local_std", 4).alias("local_std"))
 
 
-@query()
+@query(f"""WITH {PIXELS_SQL}, o AS (SELECT unnest(range(-1, 2)) AS d), n AS (SELECT p.image_id, p.y, p.x, p.value AS v, q.value FROM px p, o a, o b, px q WHERE q.image_id = p.image_id
+  AND q.y = CASE WHEN p.y + a.d < 0 THEN -(p.y + a.d) WHEN p.y + a.d > 7 THEN 14 - (p.y + a.d) ELSE p.y + a.d END AND q.x = CASE WHEN p.x + b.d < 0 THEN -(p.x + b.d) WHEN p.x + b.d > 7 THEN 14 - (p.x + b.d) ELSE p.x + b.d END),
+s AS (SELECT image_id, y, x, v, avg(value) AS m, stddev_pop(value) AS d FROM n GROUP BY 1, 2, 3, 4), r AS (SELECT image_id, (max(value) - min(value)) / 2 AS r FROM px GROUP BY 1)
+SELECT image_id, y, x FROM s JOIN r USING (image_id) WHERE v < m * (1 + 0.2 * (d / r - 1))""")
 def threshold_sauvola(spark, sf_dir):
     return P.sauvola_mask(patch(spark, sf_dir), 8, 8, 3).select("image_id", "y", "x")
 
@@ -786,7 +789,9 @@ def planes(spark, sf_dir):
     return e.select(F.col("vec_id").cast("string").alias("image_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.transform("embedding", lambda v: v.cast("double")).alias("pixels"))
 
 
-@query()
+@query("""WITH RECURSIVE m AS (SELECT CAST(vec_id AS VARCHAR) AS image_id, i - 1 AS p, (i - 1) // 8 AS y, (i - 1) % 8 AS x FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings) WHERE embedding[i] > 0.3),
+e AS (SELECT a.image_id, a.p, b.p AS q FROM m a JOIN m b ON a.image_id = b.image_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1), r(image_id, p, q) AS (SELECT image_id, p, p FROM m UNION SELECT r.image_id, r.p, e.q FROM r JOIN e ON e.image_id = r.image_id AND e.p = r.q),
+c AS (SELECT image_id, p, min(q) AS root FROM r GROUP BY 1, 2) SELECT image_id, CAST(dense_rank() OVER (PARTITION BY image_id ORDER BY root) AS INTEGER) AS label, count(*) AS area FROM c GROUP BY image_id, root""")
 def label_components(spark, sf_dir):
     p = planes(spark, sf_dir).withColumn("labels", F.transform("pixels", lambda v: (v > 0.3).cast("int"))).drop("pixels")
     return P.unfold_masks(S.label_components(p)).groupBy("image_id", "label").agg(F.count("*").alias("area"))

@@ -79,15 +79,21 @@ def contiguous_chunks(df: DataFrame, n: int, *order: str, name: str = "chunk") -
     return ranked(df, *order).withColumn(name, chunk.cast("int")).drop("i")
 
 
+def portable_hash(key: Column, seed: int = 0) -> Column:
+    """32 bits of a digest of a key as text: the same number in any engine that knows md5."""
+    text = F.concat_ws("/", F.lit(str(seed)), key.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def hash_split(key: Column, train: int = 80, validation: int = 10) -> Column:
     """train, val or test by a hash of the key, the same in every run."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(100))
+    bucket = portable_hash(key) % 100
     return F.when(bucket < train, "train").when(bucket < train + validation, "val").otherwise("test")
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """A reproducible sample of ``n`` rows, by a hash of their keys."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(portable_hash(F.col(key), seed), key).limit(n)
 
 
 def rank_groups(df: DataFrame, n_groups: int, *order: str, name: str = "group") -> DataFrame:
