@@ -16,6 +16,13 @@ WORD_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, so that Python objects of a few texts live at a time."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, end row, bytes, offsets) of consecutive rows; null texts are empty here."""
     texts = batch.column(batch.schema.get_field_index(column))

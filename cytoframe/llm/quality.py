@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.llm.arrow_text import parts
 from cytoframe.llm.learners import BoostedTrees, Isotonic, Logistic, logit, sigmoid
 from cytoframe.llm.tables import checkpointed
 from cytoframe.llm.toxicity import sampled
@@ -145,7 +146,7 @@ def train(documents: DataFrame, labels: DataFrame, labelled: int = 15_000, pool:
     rows = documents.select("doc_id", *_INPUTS).join(F.broadcast(sample), "doc_id").select("doc_id", "label", "fold", *_INPUTS)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 500):
             t, m = _views(batch, 3)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(list(t), pa.list_(pa.float64())), pa.array(list(m), pa.list_(pa.float64()))], names=["doc_id", "label", "fold", "t", "m"])
 
@@ -166,11 +167,9 @@ def score_documents(documents: DataFrame, labels: DataFrame, rows_at_once: int =
     model = documents.sparkSession.sparkContext.broadcast(train(documents, labels, **how))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, len(batch), rows_at_once):
-                part = batch.slice(start, rows_at_once)
-                scores = model.value.score(*_views(part, 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(s, pa.float64()) for s in scores]], names=["doc_id", "score", "text_score", "metadata_score"])
+        for part in parts(batches, rows_at_once):
+            scores = model.value.score(*_views(part, 1))
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(s, pa.float64()) for s in scores]], names=["doc_id", "score", "text_score", "metadata_score"])
 
     scored = documents.select("doc_id", *_INPUTS).mapInArrow(run, "doc_id long, score double, text_score double, metadata_score double")
     return scored.withColumn("kept", F.col("score") >= 0.5)

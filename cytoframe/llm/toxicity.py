@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cytoframe.llm.arrow_text import parts
 from cytoframe.llm.learners import BoostedTrees, Isotonic
 from cytoframe.llm.tables import checkpointed, id_remainder
 
@@ -114,7 +115,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = 20_000, lexicon_w
     text = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 500):
             out = [sorted(set(_WORD.findall((t or "").lower()))) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string())), batch.column(1), batch.column(2)], names=["words", "label", "fold"])
 
@@ -136,7 +137,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = 20_000, lexicon_w
     lexica = documents.sparkSession.sparkContext.broadcast([without(k) for k in range(folds)])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 500):
             folds_ = batch.column(2).to_pylist()
             out = [featurise(x or "", lexica.value[f]) for x, f in zip(batch.column(0).to_pylist(), folds_, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "label", "fold"])
@@ -162,11 +163,9 @@ def score(documents: DataFrame, model: Model, rows_at_once: int = 500) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
-            for start in range(0, len(batch), rows_at_once):
-                part = batch.slice(start, rows_at_once)
-                x = np.array([featurise(t or "", own.lexicon) for t in part.column(1).to_pylist()], float)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own.score(x), pa.float64())], names=["doc_id", "score"])
+        for part in parts(batches, rows_at_once):
+            x = np.array([featurise(t or "", own.lexicon) for t in part.column(1).to_pylist()], float)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own.score(x), pa.float64())], names=["doc_id", "score"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
