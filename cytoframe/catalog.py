@@ -128,7 +128,7 @@ SELECT drug, count(*) AS n_cells, round(avg(area_px), 6) AS mean_area, CASE WHEN
 # ---- filters ---------------------------------------------------------------
 
 RULES = {"rules": {"area": {"min": 10, "max": 40}, "aspect_ratio_min": 0.02, "l_linestatus": "O"}}
-REASONS_SQL = """concat_ws(';', CASE WHEN NOT included THEN 'momia_excluded' END, CASE WHEN area_px < 10 THEN 'area_px:below_min' WHEN area_px > 40 THEN 'area_px:above_max' END,
+REASONS_SQL = """concat_ws(';', CASE WHEN NOT included THEN 'segmenter_excluded' END, CASE WHEN area_px < 10 THEN 'area_px:below_min' WHEN area_px > 40 THEN 'area_px:above_max' END,
   CASE WHEN aspect_ratio < 0.02 THEN 'aspect_ratio:below_min' END, CASE WHEN l_linestatus <> 'O' THEN 'l_linestatus:expected_O' END)"""
 
 

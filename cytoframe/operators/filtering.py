@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from cytoframe.plans import rules as R
 
 
-def filter_cells(cells: DataFrame, config: dict[str, Any], require_included: bool = True, scale: float = 1.0) -> DataFrame:
+def filter_cells(cells: DataFrame, config: dict[str, Any], require_included: bool = True, scale: float = 1.0, excluded: str = R.EXCLUDED) -> DataFrame:
     """``cells`` with filter_passed, filter_reasons and included by the rules; no row goes."""
-    found = R.reasons(R.scaled(R.normalized(config), scale), dict(cells.dtypes), require_included)
+    found = R.reasons(R.scaled(R.normalized(config), scale), dict(cells.dtypes), require_included, excluded)
     out = cells.withColumn("_reasons", found)
     passed = F.size("_reasons") == 0
     return out.withColumns({"filter_passed": passed, "filter_reasons": F.array_join("_reasons", ";"), "included": passed}).drop("_reasons")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cytoframe.functions.identity import as_bool
 
+EXCLUDED = "segmenter_excluded"
 _NAMES = {"area": "area_px", "length": "length_um", "width": "width_um"}
 
 
@@ -79,9 +80,9 @@ def _equal(value: Column, expected: Any) -> Column:
     return (as_bool(value) == expected) if isinstance(expected, bool) else (value.cast("string") == str(expected))
 
 
-def reasons(rules: dict[str, dict[str, Any]], kinds: dict[str, str], require_included: bool = False) -> Column:
-    """All reasons of a row, in the order of the rules; ``kinds`` are the table's columns and types."""
-    found = [F.when(~as_bool(F.col("included")), "momia_excluded")] if require_included and "included" in kinds else []
+def reasons(rules: dict[str, dict[str, Any]], kinds: dict[str, str], require_included: bool = False, excluded: str = EXCLUDED) -> Column:
+    """All reasons of a row, in the order of the rules; ``kinds`` are the table's columns and types, ``excluded`` is what rows are called that the segmenter left out."""
+    found = [F.when(~as_bool(F.col("included")), excluded)] if require_included and "included" in kinds else []
     found += [reason(c, r, kinds.get(c)) for c, r in rules.items()]
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 

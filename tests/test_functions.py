@@ -28,9 +28,9 @@ def test_cell_hash_is_the_digest_of_name_label_and_box(spark):
 @pytest.mark.parametrize(
     ("stem", "known", "phase", "want"),
     [
-        ("mjm_2026_Mabs_OGDA_s01m01_Cy5_ORG", ["Cy5", "OG514"], "Phase", ("Cy5", "mjm_2026_Mabs_OGDA_s01m01")),
+        ("run_2026_strain_stain_s01m01_Cy5_ORG", ["Cy5", "OG514"], "Phase", ("Cy5", "run_2026_strain_stain_s01m01")),
         ("site01_Phase PH3_ORG", ["Phase"], "Phase", ("Phase", "site01")),
-        ("mjm_2026_Mabs_OGDA_sCy5DA-01_s01m01_Phase", ["Cy5"], "Phase", ("Phase", "mjm_2026_Mabs_OGDA_sCy5DA-01_s01m01")),
+        ("run_2026_strain_stain_sCy5DA-01_s01m01_Phase", ["Cy5"], "Phase", ("Phase", "run_2026_strain_stain_sCy5DA-01_s01m01")),
         ("site42_CustomPhase", ["Cy5"], "CustomPhase", ("CustomPhase", "site42")),
         ("plain", ["Cy5"], "Phase", (None, "plain")),
         ("a_Cy5_b_Cy5DA.x", ["Cy5", "Cy5DA"], "Phase", ("Cy5DA", "a_Cy5_b")),

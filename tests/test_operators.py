@@ -27,7 +27,7 @@ def rows(df, *order):
 def test_rules_with_reasons(spark):
     c = spark.createDataFrame([("a", 1, True, 150, 3.0, False), ("a", 2, True, 20, 3.0, False), ("a", 3, False, 150, 3.0, False)], "image_id string, label int, included boolean, area_px int, aspect_ratio double, touching_edge boolean")
     f = FL.filter_cells(c, {"rules": {"area_px": {"min": 100, "max": 500}, "aspect_ratio": {"min": 2}, "touching_edge": False}})
-    assert rows(f.select("included", "filter_reasons"), "label") == [(True, ""), (False, "area_px:below_min"), (False, "momia_excluded")]
+    assert rows(f.select("included", "filter_reasons"), "label") == [(True, ""), (False, "area_px:below_min"), (False, "segmenter_excluded")]
     assert rows(FL.filter_summary(f)) == [(3, 1, 2)]
     g = spark.createDataFrame([("x", None), ("7", float("nan")), ("5", float("inf"))], "a string, b double")
     f = FL.filter_cells(g, {"a": {"min": 6}, "b": {"max": 1}, "gone": 1}, False)
