@@ -22,8 +22,9 @@ _OUTSIDE = {"head", "nav", "header", "footer", "aside", "form", "button", "menu"
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "picture", "source", "input"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words of class, id and role that mark page furniture or content.
-_FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "header", "masthead", "comment", "comments", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
+_FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "adslot", "adunit", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "submenu", "topbar", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "header", "masthead", "comment", "comments", "commentlist", "commentform", "discussion", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "cookiebar", "cookiebanner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
 _CONTENT = {"article", "content", "post", "entry", "story", "main", "body", "text", "articlebody"}
+_ABOUT = {"has", "with", "no", "without", "is", "not"}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -36,7 +37,10 @@ def _kind(name: str, attributes: str) -> str:
             return "out"
         words = set()
         for m in _CLASS.finditer(attributes):
-            words.update(_SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
+            for name_ in (m[1] or m[2] or m[3] or "").lower().split():
+                own = set(_SPLIT.split(name_))
+                if not own & _ABOUT:  # "has-sidebar" says what an element holds, not what it is
+                    words |= own
         if words & _FURNITURE and name not in ("body", "html", "article", "main"):
             return "out"
         if words & _CONTENT:

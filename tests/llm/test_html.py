@@ -21,6 +21,11 @@ def test_furniture_goes_and_text_is_clean():
     assert H.extract(page, W) == "Title & more\nFirst para with break <b> café.\nitem one is here\nitem two\nSecond para continues."
 
 
+def test_names_of_classes():
+    page = '<div class="layout has-sidebar"><div class="post-body"><p>The text of the page is this one here.</p></div><ol class="commentlist"><li>a reader says many words about it all</li></ol></div>'
+    assert H.extract(page, W) == "The text of the page is this one here."
+
+
 def test_odd_pages():
     assert H.extract("", W) == "" and H.extract("<html><body></body></html>", W) == "" and H.extract("just text here", W) == "just text here"
     assert H.extract("<p>one <b>two<p>three &nbsp; four", W) == "one two\nthree four"
