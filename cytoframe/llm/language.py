@@ -71,7 +71,7 @@ class Slots:
         counts = np.bincount(slot, minlength=1 << bits)
         self.first = (np.cumsum(counts) - counts).astype(np.int32)
         self.rounds = int(counts.max()) if len(keys) else 0
-        self.counts = counts.astype(np.uint8)
+        self.counts = counts.astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The place of each wanted key, -1 where it is not known."""
@@ -306,5 +306,7 @@ def keep_identified(documents: DataFrame, least: float = 0.4) -> DataFrame:
     """The documents with a language: all but ``und`` and those whose score is under ``least``."""
     columns = documents.columns
     model = train(documents.where(~F.coalesce(held_out(), F.lit(True))))
-    found = identify(documents, model, tuple(columns))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*columns)
+    # Numbered names, so that no column of the documents clashes with the prediction's.
+    held = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.col("text").alias("text"))
+    found = identify(held, model, tuple(f"c{i}" for i in range(len(columns))))
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])

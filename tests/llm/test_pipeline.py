@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from cytoframe.llm import decontamination, language, packing, privacy, similarity
 
@@ -25,6 +27,7 @@ def test_run_is_its_stages(spark):
 def test_stages_take_odd_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "123", None, "s", 3), (4, "the cat and the dog went over the hill with mail to a@b.com", "en", "s", 9), (4, "the cat and the dog went over the hill with mail to a@b.com", "en", "s", 9), (5, "the dog " * 9000, "en", None, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit("extra") for c in ("score", "lang_pred", "class_id", "hits", "scanned", "c0", "_words", "entity", "start")})
     for table in (docs, docs.limit(0)):
         at = table
         for name, stage in corpus_pipeline.STAGES:
