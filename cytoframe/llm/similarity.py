@@ -9,7 +9,8 @@
    a set goes to the child of its value at each.  Nodes of up to ``leaf`` sets
    are compared by brute force; larger ones are split again, and what is still
    large at the last depth, sets that are alike, is compared in blocks.
-   Runs repeat until a pair at the threshold is met with the target recall.
+   Runs, each with coordinates of its own, repeat until a pair at the threshold
+   that meets at the last depth only is met with the target recall.
 4. Candidate groups, the components of pairs whose estimate is not clearly too
    low, get an exact comparison of their shingle sets, in blocks, which counts
    every link within and keeps a spanning forest of the links for the classes.
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from cytoframe.llm.arrow_text import mix, shingle_hashes, text_slices, word_hashes, word_spans
 from cytoframe.llm.tables import checkpointed
 
+#: Coordinates whose last 8 bits are compared in leaves, and those that each run chooses from.
 COORDINATES = 64
-_MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-_OFFSETS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+RUN_COORDINATES = 16
+#: A node's last 8 bits are its run.
+_RUN = np.uint64(0xFF)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 #: Words are runs of letters, digits and all that is not ASCII, after A to Z became small.
@@ -61,13 +64,15 @@ def set_ids(hashes: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray,
     return ids.view(np.int64), sizes
 
 
-def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def signatures(hashes: np.ndarray, sizes: np.ndarray, coordinates: int) -> np.ndarray:
     """Minhash values of the rows with members, 32 bits for each coordinate."""
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
-    out = np.empty((len(first), COORDINATES), np.uint32)
-    for k in range(COORDINATES):
+    numbers = np.arange(1, coordinates + 1, dtype=np.uint64)
+    multipliers, shifts = mix(numbers * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1), mix(numbers * np.uint64(0xA0761D6478BD642F))
+    out = np.empty((len(first), coordinates), np.uint32)
+    for k in range(coordinates):
         if len(first):
-            out[:, k] = np.minimum.reduceat(hashes * _MULTIPLIERS[k] + _OFFSETS[k], first) >> np.uint64(32)
+            out[:, k] = np.minimum.reduceat(hashes * multipliers[k] + shifts[k], first) >> np.uint64(32)
     return out
 
 
@@ -87,16 +92,69 @@ def survival(threshold: float, depth: int) -> float:
     return q
 
 
-def children(nodes: np.ndarray, signature: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The chosen children of a record in each of its nodes; the rows of the children."""
+def roots(runs: int) -> np.ndarray:
+    """The node of each run that holds all sets."""
+    own = np.arange(runs, dtype=np.uint64)
+    return mix(own + np.uint64(1)) & ~_RUN | own
+
+
+def chosen(nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first and the second of its run's coordinates that each node samples, and whether it takes the second."""
     h = mix(nodes)
-    first = (h % np.uint64(COORDINATES)).astype(np.int64)
-    second = (first + 1 + ((h >> np.uint64(16)) % np.uint64(COORDINATES - 1)).astype(np.int64)) % COORDINATES
-    twice = np.flatnonzero((h >> np.uint64(40)).astype(np.float64) / (1 << 24) < 1 / threshold - 1)
+    first = (h % np.uint64(RUN_COORDINATES)).astype(np.int64)
+    second = (first + 1 + ((h >> np.uint64(16)) % np.uint64(RUN_COORDINATES - 1)).astype(np.int64)) % RUN_COORDINATES
+    return first, second, (h >> np.uint64(40)).astype(np.float64) / (1 << 24) < 1 / threshold - 1
+
+
+def children(nodes: np.ndarray, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen children of records in a node each, by their values of its run; the rows of the children."""
+    first, second, two = chosen(nodes, threshold)
+    twice = np.flatnonzero(two)
     rows = np.concatenate([np.arange(len(nodes)), twice])
-    chosen = np.concatenate([first, second[twice]])
-    values = signature[rows, chosen].astype(np.uint64)
-    return mix(nodes[rows] * np.uint64(0x9E3779B97F4A7C15) + mix((values << np.uint64(8)) | chosen.astype(np.uint64))), rows
+    at = np.concatenate([first, second[twice]])
+    values = own[rows, at].astype(np.uint64)
+    found = mix(nodes[rows] * np.uint64(0x9E3779B97F4A7C15) + mix((values << np.uint64(8)) | at.astype(np.uint64)))
+    return found & ~_RUN | nodes[rows] & _RUN, rows
+
+
+def binomial(n: int, p: float) -> np.ndarray:
+    """Chances of 0 to n equal coordinates among n."""
+    return np.array([math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)])
+
+
+def missed_by_run(threshold: float, depth: int, root_takes_two: bool) -> float:
+    """Chance that a pair at the threshold shares no node at this depth of a run.
+
+    Whether a root samples two coordinates is one draw for all sets.  A run's
+    nodes share its coordinates: the chance is that of every number of equal
+    ones, weighted; within one, nodes choose independently.
+    """
+    k = np.arange(RUN_COORDINATES + 1) / RUN_COORDINATES
+    both = k * (k * RUN_COORDINATES - 1) / (RUN_COORDINATES - 1)
+    q = np.ones(RUN_COORDINATES + 1)
+    for level in range(depth):
+        two = float(root_takes_two) if level == depth - 1 else 1 / threshold - 1
+        q = (1 - two) * k * q + two * (both * (1 - (1 - q) ** 2) + 2 * (k - both) * q)
+    return float(1 - binomial(RUN_COORDINATES, threshold) @ q)
+
+
+def plan(threshold: float, recall: float, depths: int) -> tuple[int, int, float]:
+    """The number of runs, the least number of equal coordinates of a candidate pair, and the recall that they give.
+
+    A pair at the threshold that meets at the last depth only is missed by all
+    runs, or has too few equal coordinates in every leaf; a tenth of what the
+    recall allows goes to the second, and the sum of both bounds the pairs lost.
+    """
+    below = np.cumsum(binomial(COORDINATES, threshold))
+    least = int(np.searchsorted(below, (1 - recall) / 10, side="right"))
+    by_bits = float(below[least - 1]) if least else 0.0
+    takes_two = chosen(roots(int(_RUN) + 1), threshold)[2]
+    by_runs = np.cumprod([missed_by_run(threshold, depths, bool(t)) for t in takes_two])
+    enough = np.flatnonzero(by_runs + by_bits <= 1 - recall)
+    if not len(enough):
+        raise ValueError(f"{len(by_runs)} runs do not reach a recall of {recall} at {threshold}")
+    runs = int(enough[0]) + 1
+    return runs, least, 1 - float(by_runs[runs - 1]) - by_bits
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int, rows_at_once: int) -> Iterator[pa.Table]:
@@ -252,48 +310,49 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     rows with a null id are compared as any other.  Extra columns are not read.
     """
     documents = docs.select("doc_id", "text")
+    runs, least, _ = plan(threshold, recall, depths)
+    coordinates = max(COORDINATES, runs * RUN_COORDINATES)
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, data, offsets in text_slices(batch, "text"):
                 hashes, owners = shingle_sets(data, offsets, width)
                 ids, sizes = set_ids(hashes, owners, end - start)
-                signature = np.zeros((end - start, COORDINATES), np.uint32)
-                signature[sizes > 0] = signatures(hashes, sizes)
+                signature = np.zeros((end - start, coordinates), np.uint32)
+                signature[sizes > 0] = signatures(hashes, sizes, coordinates)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(ids), pa.array(sizes.astype(np.int64)), fixed_binary(signature)], names=["doc_id", "set_id", "n", "signature"])
 
     rows = checkpointed(documents.mapInArrow(embed, "doc_id long, set_id long, n long, signature binary"))
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
+    nodes_schema = "node long, set_id long, sketch binary"
     one = rows.where("n > 0").join(sets.where("copy_id is not null"), "set_id").where("doc_id = copy_id").select("set_id", "signature")
 
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, 2)))
-    nodes_schema = "node long, set_id long, signature binary"
-
-    def step(first: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
-            for batch in batches:
-                for start in range(0, len(batch), 20_000):
-                    part = batch.slice(start, 20_000)
-                    ids = part.column(part.schema.get_field_index("set_id")).to_numpy()
-                    packed = part.column(part.schema.get_field_index("signature"))
-                    signature = np.frombuffer(b"".join(packed.to_pylist()), np.uint32).reshape(-1, COORDINATES)
-                    nodes = [np.full(len(ids), r) for r in roots] if first else [part.column(0).to_numpy().view(np.uint64)]
-                    for own in nodes:
-                        found, at = children(own, signature, threshold)
-                        kept = fixed_binary((signature & np.uint32(0xFF)).astype(np.uint8)[at])
-                        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(ids[at]), kept], names=["node", "set_id", "sketch"])
-
-        return run
+    def first_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 20_000):
+                part = batch.slice(start, 20_000)
+                signature = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, coordinates)
+                sketch = (signature[:, :COORDINATES] & np.uint32(0xFF)).astype(np.uint8)
+                for k, root in enumerate(roots(runs)):
+                    found, at = children(np.full(len(part), root), signature[:, k * RUN_COORDINATES : (k + 1) * RUN_COORDINATES], threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), part.column(0).take(pa.array(at)), fixed_binary(sketch[at])], names=["node", "set_id", "sketch"])
+
+    def next_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 20_000):
+                part = batch.slice(start, 20_000)
+                own = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint32).reshape(-1, RUN_COORDINATES)
+                found, at = children(part.column(0).to_numpy().view(np.uint64), own, threshold)
+                rows_ = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), part.column(1).take(rows_), part.column(2).take(rows_)], names=["node", "set_id", "sketch"])
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A coordinate of two unlike sets agrees in 8 bits once in 256; three standard deviations under the threshold stay in.
-        least = math.floor(COORDINATES * threshold - 3.5 * math.sqrt(COORDINATES * threshold * (1 - threshold)))
         for table in whole_groups(batches, 3, 20_000):
             yield _candidate_stars(table, least)
 
-    edges, at = None, checkpointed(one).mapInArrow(step(True), "node long, set_id long, sketch binary")
-    signed = one
+    edges, at = None, checkpointed(one).mapInArrow(first_step, nodes_schema)
+    # the coordinates of a node's run
+    own_part = F.substring("signature", (F.col("node").bitwiseAND(int(_RUN)) * (4 * RUN_COORDINATES) + 1).cast("int"), F.lit(4 * RUN_COORDINATES))
     for depth in range(1, depths + 1):
         sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         sized = at.join(sizes, "node")
@@ -305,11 +364,11 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
         found = checkpointed(ready.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(leaves, "a long, b long"))
         edges = found if edges is None else edges.union(found)
         if depth < depths:
-            large = sized.where(F.col("size") > leaf).select("node", "set_id").distinct()
-            again = checkpointed(large.join(signed, "set_id").select("node", "set_id", "signature"))
+            large = sized.where(F.col("size") > leaf).select("node", "set_id", "sketch").dropDuplicates(["node", "set_id"])
+            again = checkpointed(large.join(one, "set_id").select("node", "set_id", "sketch", own_part.alias("own")))
             if not again.take(1):
                 break
-            at = again.mapInArrow(step(False), "node long, set_id long, sketch binary")
+            at = again.mapInArrow(next_step, nodes_schema)
 
     grouped = checkpointed(components(edges))
     candidates = grouped.join(sets.withColumnRenamed("set_id", "id"), "id")

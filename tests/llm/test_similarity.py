@@ -1,6 +1,8 @@
+import math
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -98,3 +100,30 @@ def test_shingles_are_sets_of_words():
 
 def test_target_recall():
     assert S.survival(0.8, 1) == pytest.approx(0.84) and S.survival(0.8, 2) < S.survival(0.8, 1)
+
+
+def test_recall_where_pairs_meet_at_the_last_depth_only(spark):
+    # 40 shingles of 50 are shared: a similarity of 0.8 each; leaves of one set send every pair through all depths
+    rows = []
+    for pair in range(15_000):
+        words = [f"w{pair}x{i}" for i in range(49)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join([*words[:44], *(f"v{pair}x{i}" for i in range(5))]))]
+    assert all(len(a & b) == 0.8 * len(a | b) for a, b in [(shingles(rows[i][1]), shingles(rows[i + 1][1])) for i in range(0, 200, 2)])
+    found = S.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), leaf=1).where("doc_id % 2 = 1 and class_id <> doc_id").count()
+    assert found >= 15_000 - 5  # 1.5 are expected to be missed at a recall of 0.9999
+
+
+def test_plan_counts_what_runs_share():
+    runs, least, recall = S.plan(0.8, 0.9999, 3)
+    assert runs >= math.log(1e-4) / math.log(1 - S.survival(0.8, 3)) and 0.9999 <= recall < 1
+    assert sum(S.binomial(S.COORDINATES, 0.8)[:least]) <= 1e-5
+    r, pairs = np.random.default_rng(3), 40_000
+    equal = r.random((pairs, S.RUN_COORDINATES)) < 0.8
+    a = r.integers(0, 1 << 32, equal.shape, np.uint32)
+    b = np.where(equal, a, r.integers(0, 1 << 32, equal.shape, np.uint32))
+    here = [(np.full(pairs, S.roots(1)[0]), np.arange(pairs))] * 2
+    for _ in range(3):
+        here = [(n, at[rows]) for (nodes, at), own in zip(here, (a, b), strict=True) for n, rows in [S.children(nodes, own[at], 0.8)]]
+    met = np.intersect1d(here[0][0], here[1][0])
+    met = len(set(here[0][1][np.isin(here[0][0], met)]))
+    assert abs(1 - met / pairs - S.missed_by_run(0.8, 3, bool(S.chosen(S.roots(1), 0.8)[2][0]))) < 0.015
