@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.llm.arrow_text import mix, shingle_hashes, text_slices, word_hashes, word_spans
@@ -299,17 +299,18 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return large.select(F.col("a").alias("id"), F.col("b").alias("label")).union(large.select("b", "b")).distinct()
 
 
-def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 1024, block_shingles: int = 2_000_000, depths: int = 3) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, class_id, copy_id, n_links.
+def row_key() -> Column:
+    """A number for each row's doc_id and text: rows of equal keys are repetitions."""
+    return F.xxhash64("doc_id", "text")
 
-    ``class_id`` is the least doc_id of the row's class, the component of links;
-    ``copy_id`` the least doc_id with an equal set; ``n_links`` the number of
-    other rows whose similarity is at least ``threshold``, copies included.
-    Texts of fewer than ``width`` words, but not none, are one shingle.  Null
-    texts and texts without words have no links and are classes of their own;
-    rows with a null id are compared as any other.  Extra columns are not read.
+
+def classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 1024, block_shingles: int = 2_000_000, depths: int = 3) -> tuple[DataFrame, DataFrame, bool]:
+    """All rows (key, doc_id, set_id, n), a row for each set with words, and whether rows repeat.
+
+    Sets have set_id, label, copy_id, class_id, n_links; ``label`` names the class.
+    One row stands for each set, whatever the ids of its rows.
     """
-    documents = docs.select("doc_id", "text")
+    documents = docs.select(row_key().alias("key"), "doc_id", "text")
     runs, least, _ = plan(threshold, recall, depths)
     coordinates = max(COORDINATES, runs * RUN_COORDINATES)
 
@@ -320,12 +321,14 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
                 ids, sizes = set_ids(hashes, owners, end - start)
                 signature = np.zeros((end - start, coordinates), np.uint32)
                 signature[sizes > 0] = signatures(hashes, sizes, coordinates)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), pa.array(ids), pa.array(sizes.astype(np.int64)), fixed_binary(signature)], names=["doc_id", "set_id", "n", "signature"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), batch.column(1).slice(start, end - start), pa.array(ids), pa.array(sizes.astype(np.int64)), fixed_binary(signature)], names=["key", "doc_id", "set_id", "n", "signature"])
 
-    rows = checkpointed(documents.mapInArrow(embed, "doc_id long, set_id long, n long, signature binary"))
-    sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
+    rows = documents.mapInArrow(embed, "key long, doc_id long, set_id long, n long, signature binary")
+    rows = checkpointed(rows.withColumn("number", F.monotonically_increasing_id()))
+    sets = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("copy_id"), F.min("number").alias("number"), F.min("key").alias("key"), F.count("*").alias("copies"), F.max("n").alias("n"))
+    one = rows.where("n > 0").select("set_id", "number", "signature").join(sets.select("set_id", "number"), ["set_id", "number"]).select("set_id", "signature")
+    repeated = bool(rows.where("n > 0").groupBy("key").count().where("count > 1").take(1))
     nodes_schema = "node long, set_id long, sketch binary"
-    one = rows.where("n > 0").join(sets.where("copy_id is not null"), "set_id").where("doc_id = copy_id").select("set_id", "signature")
 
     def first_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,7 +376,7 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     grouped = checkpointed(components(edges))
     candidates = grouped.join(sets.withColumnRenamed("set_id", "id"), "id")
     totals = candidates.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_shingles)).cast("int").alias("blocks"))
-    members = candidates.join(totals, "label").select(F.col("copy_id").alias("doc_id"), F.col("id").alias("set_id"), F.col("label").alias("comp"), "blocks", "copies")
+    members = candidates.join(totals, "label").select("key", F.col("id").alias("set_id"), F.col("label").alias("comp"), "blocks", "copies")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -382,12 +385,14 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
                 hashes, owners = shingle_sets(data, offsets, width)
                 ids, sizes = set_ids(hashes, owners, end - start)
                 ends = np.cumsum(sizes)
-                keep = np.flatnonzero(ids == wanted[start:end])  # another row may have the same doc_id
+                keep = np.flatnonzero(ids == wanted[start:end])  # another row may have the same key
                 sets_ = [hashes[ends[i] - sizes[i] : ends[i]].tobytes() for i in keep]
                 take = batch.slice(start, end - start).take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([take.column(1), take.column(2), take.column(3), take.column(4), pa.array(sets_, pa.binary())], names=["set_id", "comp", "blocks", "copies", "shingles"])
 
-    texts = documents.join(members, "doc_id").select("text", "set_id", "comp", "blocks", "copies")
+    texts = documents.join(members, "key").select("text", "set_id", "comp", "blocks", "copies")
+    if repeated:
+        texts = texts.dropDuplicates(["set_id", "text"])
     shingled = texts.mapInArrow(shingle, "set_id long, comp long, blocks int, copies long, shingles binary")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     dealt = shingled.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -409,14 +414,44 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     facts = parts.groupBy("set_id").agg(F.max("copy_id").alias("copy_id"), (F.max("copies") - 1 + F.coalesce(F.sum("links"), F.lit(0))).alias("n_links"), F.min("label").alias("label"))
     facts = checkpointed(facts)
     named = facts.where("label is not null")
-    named = named.join(named.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label").select("set_id", "copy_id", "class_id", "n_links")
-    facts = named.union(facts.where("label is null").select("set_id", "copy_id", F.col("copy_id").alias("class_id"), "n_links"))
+    named = named.join(named.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label").select("set_id", "label", "copy_id", "class_id", "n_links")
+    facts = named.union(facts.where("label is null").select("set_id", F.col("set_id").alias("label"), "copy_id", F.col("copy_id").alias("class_id"), "n_links"))
+    return rows.select("key", "doc_id", "set_id", "n"), facts, repeated
+
+
+def join(docs: DataFrame, threshold: float = 0.8, **how) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, class_id, copy_id, n_links.
+
+    ``class_id`` is the least doc_id of the row's class, the component of links;
+    ``copy_id`` the least doc_id with an equal set; ``n_links`` the number of
+    other rows whose similarity is at least ``threshold``, copies included.
+    Texts of fewer than ``width`` words, but not none, are one shingle.  Null
+    texts and texts without words have no links and are classes of their own;
+    rows with a null id are compared as any other, and a class of such rows
+    alone has a null ``class_id``.  Extra columns are not read; ``how`` are
+    parameters of ``classes``.
+    """
+    rows, facts, _ = classes(docs, threshold, **how)
     with_words = rows.where("n > 0").select("doc_id", "set_id").join(facts, "set_id").select("doc_id", "class_id", "copy_id", "n_links")
     without = rows.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
     return with_words.union(without)
 
 
 def keep_one(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The documents that are the first of their class, one row of each; rows without an id stay."""
-    found = join(documents, threshold).where("doc_id is not null and doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti")
+    """One row of each class: one with the least doc_id, nulls last, whatever other rows have that id.
+
+    Of rows that repeat, doc_id and text alike, one stays.  Null texts and texts
+    without words are classes of their own and all stay.
+    """
+    rows, facts, repeated = classes(documents, threshold)
+    key = next(f"_key{i}" for i in range(len(documents.columns) + 1) if f"_key{i}" not in [c.lower() for c in documents.columns])
+    placed = rows.where("n > 0").select(F.col("key").alias(key), "doc_id", "set_id").join(facts.select("set_id", "label", "class_id"), "set_id")
+    placed = checkpointed(placed.select(key, "label", F.expr("doc_id <=> class_id").alias("least")))
+    first = checkpointed(placed.where("least").groupBy("label").agg(F.min(key).alias(key)).select(key))
+    others = placed.select(key).join(first, key, "left_anti").distinct()
+    keyed = documents.withColumn(key, row_key())
+    if not repeated:
+        return keyed.join(others, key, "left_anti").select([F.col(f"`{c}`") for c in documents.columns])
+    again = checkpointed(placed.groupBy(key).count().where("count > 1").join(first, key, "left_semi").select(key))
+    alone = keyed.join(others.union(again), key, "left_anti")
+    return alone.union(keyed.join(again, key, "left_semi").dropDuplicates([key])).select([F.col(f"`{c}`") for c in documents.columns])

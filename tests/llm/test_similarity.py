@@ -127,3 +127,29 @@ def test_plan_counts_what_runs_share():
     met = np.intersect1d(here[0][0], here[1][0])
     met = len(set(here[0][1][np.isin(here[0][0], met)]))
     assert abs(1 - met / pairs - S.missed_by_run(0.8, 3, bool(S.chosen(S.roots(1), 0.8)[2][0]))) < 0.015
+
+
+def test_one_row_of_each_class_stays_whatever_the_ids(spark):
+    r = random.Random(5)
+    text = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    twice, shared, clean, orphan, near = (text() for _ in range(5))
+    rows = [(7, twice, "a"), (7, twice, "b"), (7, twice, "c"), (8, twice + "!", "d")]  # repeated rows, and a copy
+    rows += [(1, shared, "e"), (2, shared, "f"), (2, clean, "g")]  # an id with a copy and with a text of its own
+    rows += [(None, orphan, "h"), (None, orphan, "i"), (None, orphan.upper(), "j"), (None, near, "k"), (3, near + " end", "l")]
+    rows += [(4, None, "m"), (4, None, "n"), (5, "...", "o")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, _KEY0 string").repartition(3)
+        got = S.keep_one(docs)
+        assert got.columns == docs.columns
+        kept = sorted(x._KEY0 for x in got.collect())
+        assert [len([k for k in kept if k in g]) for g in ("abc", "d", "e", "f", "g", "hij", "k", "l", "mn", "o")] == [1, 0, 1, 0, 1, 1, 0, 1, 2, 1]
+    links = sorted((x.doc_id or -1, x.class_id or -1, x.n_links) for x in S.join(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect())
+    assert links == brute([r[:2] for r in rows])
+
+
+def test_sets_of_rows_without_id_are_compared(spark):
+    base = [f"w{i}" for i in range(80)]
+    rows = [(None, " ".join(base)), (None, " ".join([*base, "end"])), (None, "one two three four five six seven")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.n_links for r in S.join(docs).collect()) == [0, 1, 1]
+    assert S.keep_one(docs).count() == 2
