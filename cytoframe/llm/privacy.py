@@ -37,7 +37,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     # what an assignment to a word for secrets gives, if it holds a digit
-    "credential": r"(?<=[=:]\s{0,3}[\"']?)(?<=(?i:key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[^\s\"']{0,80}\d)[A-Za-z0-9_\-/+=.~!@#$%^&*]{6,200}",
+    "credential": r"(?<=[=:]\s{0,3}[\"']?)(?<=(?i:key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[^\s\"'\d]*+\d)[A-Za-z0-9_\-/+=.~!@#$%^&*]{6,}+",
     "name": r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -76,6 +76,13 @@ def _pass(chars: Column, key: Column) -> Column:
     return F.aggregate(chars, start, step, lambda a: a["out"])
 
 
+def scramble_long(text: Column, key: Column, hexadecimal: Column | None = None, size: int = 256) -> Column:
+    """``scramble`` of pieces, each by a digest of all before it too, so that the work does not grow with the square of a length."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size))
+    salt = lambda at: F.when(at == 0, key).otherwise(F.concat(key, F.lit("/"), F.sha2(F.substring(text, F.lit(1), at), 256)))
+    return F.array_join(F.transform(starts, lambda at: scramble(F.substring(text, at + 1, F.lit(size)), salt(at), hexadecimal)), "")
+
+
 def scramble(text: Column, key: Column, hexadecimal: Column | None = None) -> Column:
     """A one-to-one keyed change of ``text`` that leaves its format as it is."""
     chars = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.struct(c.alias("c"), _alphabet(c, hexadecimal).alias("a")))
@@ -144,7 +151,7 @@ def _replaced(entity: Column, kind: Column, key: str) -> Column:
 
     def other(lead: Column) -> Column:
         body = F.substring(entity, F.length(lead) + 1, size - F.length(lead))
-        moved = scramble(body, salt, (kind == "secret") & entity.rlike(r"\A[0-9a-f]+\z"))
+        moved = scramble_long(body, salt, (kind == "secret") & entity.rlike(r"\A[0-9a-f]+\z"))
         return F.concat(lead, _bound(moved, lambda body: F.when(kind == "card", F.concat(body, _last_digit(entity, body))).otherwise(body)))
 
     return F.when(kind == "email", email).when(kind == "ip", _octets(entity, key + "/ip")).when(kind == "name", _name(entity, key + "/name")).otherwise(_bound(lead, other))

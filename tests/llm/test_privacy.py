@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -74,3 +75,15 @@ def test_texts_change_in_their_entities_alone(spark):
     assert re.split(r"\+1 \(\d{3}\) \d{3}-\d{4}|\S+@\S+?(?=[,!])|(?<=IP )[\d.]+(?=\.$)", new) == fixed
     assert (got[1][1], got[2][1], got[3][1]) == (None, "", "clean text") and got[6][1].endswith(" word") and len(got[6][1].split()) == 50001
     assert P.anonymise(docs.limit(0), KEY).count() == 0
+
+
+def test_long_credentials_go_as_a_whole(spark):
+    r = random.Random(1)
+    token = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_") for _ in range(600))
+    late = "x" * 300 + "7" + "y" * 5000
+    other = late[:-1] + "z"
+    docs = spark.createDataFrame([(1, f"token={token} end"), (2, f'"secret": "{late}"'), (3, f'"secret": "{other}"'), (4, "token=" + "plain" * 100)], "doc_id long, text string")
+    new = {d.doc_id: d.text for d in P.anonymise(docs, KEY).collect()}
+    assert len(new[1]) == len(token) + 10 and new[1].endswith(" end") and not any(token[i : i + 20] in new[1] for i in range(580))
+    assert all("x" * 12 not in new[i] and "y" * 12 not in new[i] for i in (2, 3)) and new[2] != new[3] and len(new[2]) == len(late) + 12
+    assert new[4] == "token=" + "plain" * 100
