@@ -41,8 +41,8 @@ PATTERNS = {
     "name": r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these holds no entity.
-_MAYBE = r"[@0-9]|" + "|".join(t for ts in _TITLES.values() for t in ts)
+#: A text without any of these holds no entity: secrets alone need no digit, @ or title.
+_MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|xox[bap]-|[a-f]{32}|[A-F]{32}|" + "|".join(t for ts in _TITLES.values() for t in ts)
 _ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"]
 _HEX = "0123456789abcdef"
 

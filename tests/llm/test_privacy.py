@@ -87,3 +87,12 @@ def test_long_credentials_go_as_a_whole(spark):
     assert len(new[1]) == len(token) + 10 and new[1].endswith(" end") and not any(token[i : i + 20] in new[1] for i in range(580))
     assert all("x" * 12 not in new[i] and "y" * 12 not in new[i] for i in (2, 3)) and new[2] != new[3] and len(new[2]) == len(late) + 12
     assert new[4] == "token=" + "plain" * 100
+
+
+def test_every_entity_is_found_in_a_text_of_its_own(spark):
+    letters = ["xoxb-abcdefghijkl", "ghp_" + "abcdefghijKLMNOPQRSTUVWXYZabcdefghij", "abcdef" * 6, "ABCDEF" * 6]
+    values = [v for vs in ENTITIES.values() for v in vs] + letters
+    docs = spark.createDataFrame(list(enumerate(f"see {v} here" for v in values)), "doc_id long, text string")
+    new = {d.doc_id: d.text for d in P.anonymise(docs, KEY).collect()}
+    assert [v for i, v in enumerate(values) if v in new[i]] == []
+    assert P.entities(docs, KEY).count() == len(values)
