@@ -27,6 +27,8 @@ GIVEN_NAMES = {
     "male cyrillic": ["Иван", "Пётр", "Алексей", "Дмитрий", "Сергей", "Андрей", "Николай", "Михаил"],
     "female cyrillic": ["Анна", "Мария", "Елена", "Ольга", "Наталья", "Татьяна", "Ирина", "Светлана"],
 }
+_TITLE = "(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + ")"
+_GIVEN = "(?=[" + "".join(sorted({n[0] for ns in GIVEN_NAMES.values() for n in ns})) + "])(?:" + "|".join(n for ns in GIVEN_NAMES.values() for n in ns) + ")"
 #: In order of precedence at one place of a text.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -38,11 +40,12 @@ PATTERNS = {
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     # what an assignment to a word for secrets gives, if it holds a digit
     "credential": r"(?<=[=:]\s{0,3}[\"']?)(?<=(?i:key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[^\s\"'\d]*+\d)[A-Za-z0-9_\-/+=.~!@#$%^&*]{6,}+",
-    "name": r"(?<!\p{L})(?:" + "|".join(t for ts in _TITLES.values() for t in ts) + r")\.? \p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?",
+    # one or two words behind a title, or a given name and the word behind it
+    "name": rf"(?<!\p{{L}})(?:{_TITLE}\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?|{_GIVEN} \p{{Lu}}[\p{{L}}'’-]+)",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no entity: secrets alone need no digit, @ or title.
-_MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|xox[bap]-|[a-f]{32}|[A-F]{32}|" + "|".join(t for ts in _TITLES.values() for t in ts)
+_MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|xox[bap]-|[a-f]{32}|[A-F]{32}|" + f"{_TITLE}|{_GIVEN} "
 _ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"]
 _HEX = "0123456789abcdef"
 
@@ -122,9 +125,9 @@ def _names(key: str) -> dict[str, str]:
 
 
 def _name(name: Column, key: str) -> Column:
-    """The title stays; given names move within their gender and script, other names letter by letter."""
+    """A title stays; given names move within their gender and script, other names letter by letter."""
     moved = F.create_map(*[F.lit(x) for pair in _names(key).items() for x in pair])
-    return F.array_join(F.transform(F.split(name, " "), lambda w, i: F.when(i == 0, w).otherwise(F.coalesce(F.element_at(moved, w), scramble(w, F.lit(key))))), " ")
+    return F.array_join(F.transform(F.split(name, " "), lambda w, i: F.when((i == 0) & w.rlike(rf"\A{_TITLE}\.?\z"), w).otherwise(F.coalesce(F.element_at(moved, w), scramble(w, F.lit(key))))), " ")
 
 
 def kind_of(entity: Column) -> Column:

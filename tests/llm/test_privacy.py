@@ -96,3 +96,15 @@ def test_every_entity_is_found_in_a_text_of_its_own(spark):
     new = {d.doc_id: d.text for d in P.anonymise(docs, KEY).collect()}
     assert [v for i, v in enumerate(values) if v in new[i]] == []
     assert P.entities(docs, KEY).count() == len(values)
+
+
+def test_names_without_a_title(spark):
+    rows = ["Mr. John Smith came; John Smith left, and Smithson", "my name is Anna Müller", "so says Dr. Peter Klein.", "это Анна Иванова", "Johnny Cash and john smith saw Mary go"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    new = {d.doc_id: d.text for d in P.anonymise(docs, KEY).collect()}
+    full = re.fullmatch(r"Mr\. (\w+ \w+) came; (\w+ \w+) left, and Smithson", new[0])
+    assert full[1] == full[2] and full[1].split()[0] in P.GIVEN_NAMES["male latin"] and full[1] != "John Smith"
+    assert re.fullmatch(r"my name is \w+ \w+", new[1]) and new[1].split()[3] in P.GIVEN_NAMES["female latin"] and "Anna" not in new[1] and "Müller" not in new[1]
+    assert new[2].startswith("so says Dr. ") and "Peter" not in new[2] and "Klein" not in new[2] and new[2].endswith(".")
+    assert new[3].split()[1] in P.GIVEN_NAMES["female cyrillic"] and "Анна" not in new[3] and "Иванова" not in new[3]
+    assert new[4] == rows[4]
