@@ -14,7 +14,9 @@ from cytoframe.llm.html_pages import labelled_pages
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
 _CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_MAYBE_HIDDEN = re.compile(r"hidden|none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements whose text is raw and never content.
 _RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "title", "select", "canvas", "noframes"}
 #: Elements that hold page furniture.
@@ -25,20 +27,34 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "adslot", "adunit", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "submenu", "topbar", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "header", "masthead", "comment", "comments", "commentlist", "commentform", "discussion", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "cookiebar", "cookiebanner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
 _CONTENT = {"article", "content", "post", "entry", "story", "main", "body", "text", "articlebody"}
 _ABOUT = {"has", "with", "no", "without", "is", "not"}
+#: Classes that hide an element; in others, as overflow-hidden and hidden-xs, the word says something else.
+_HIDING = {"hidden", "is-hidden", "visually-hidden"}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
+def _hidden(attributes: str) -> bool:
+    """Whether the attributes hidden, aria-hidden or style hide an element; what other ones say does not count."""
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").strip()
+        if name == "hidden" and value.lower() != "false" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
 def _kind(name: str, attributes: str) -> str:
     """"out" for furniture, "in" for marked content, else ""."""
     if name in _OUTSIDE:
         return "out"
     if attributes:
-        if _HIDDEN.search(attributes):
+        if _MAYBE_HIDDEN.search(attributes) and _hidden(attributes):
             return "out"
         words = set()
         for m in _CLASS.finditer(attributes):
             for name_ in (m[1] or m[2] or m[3] or "").lower().split():
                 own = set(_SPLIT.split(name_))
+                if name_ in _HIDING:
+                    words.add("hidden")
+                own.discard("hidden")
                 if not own & _ABOUT:  # "has-sidebar" says what an element holds, not what it is
                     words |= own
         if words & _FURNITURE and name not in ("body", "html", "article", "main"):

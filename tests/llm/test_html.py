@@ -26,6 +26,18 @@ def test_names_of_classes():
     assert H.extract(page, W) == "The text of the page is this one here."
 
 
+def test_words_of_attributes_that_hide_nothing():
+    text = "The text of the page is this one here."
+    for tag in ('article style="overflow:hidden"', 'div class="content overflow-hidden"', 'div class="is-hidden-mobile"', 'div class="post hidden-xs"', 'article data-x="hidden"', "article title='a hidden place' data-a=\"display:none\"", 'article data-hidden="1"', "div hidden=false", 'article aria-hidden="false"'):
+        name = tag.split()[0]
+        assert H.extract(f"<html><body><{tag}><p>{text}</p></{name}></body></html>", W) == text, tag
+        assert H.extract(f"<html><body><article><{tag}><p>{text}</p></{name}></article></body></html>", W) == text, tag
+    for attributes in ('style="overflow:hidden"', 'class="overflow-hidden"', 'data-x="hidden"'):
+        assert H.extract(f"<html><body {attributes}><p>{text}</p></body></html>", W) == text
+    for tag in ("div hidden", 'div class="x" hidden', "div hidden=''", "div HIDDEN='until-found'", "div aria-hidden=true", 'div aria-hidden = "true"', 'div style="color:red; display : none"', "div style='visibility:hidden'", 'div class="hidden"', 'div class="a visually-hidden"', "section id=x hidden"):
+        assert H.extract(f"<html><body><article><p>{text}</p><{tag}><p>Words that are not to be seen at all.</p></{tag.split()[0]}></article></body></html>", W) == text, tag
+
+
 def test_odd_pages():
     assert H.extract("", W) == "" and H.extract("<html><body></body></html>", W) == "" and H.extract("just text here", W) == "just text here"
     assert H.extract("<p>one <b>two<p>three &nbsp; four", W) == "one two\nthree four"
