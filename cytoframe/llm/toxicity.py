@@ -22,6 +22,9 @@ _SECOND = {"you", "your", "yours", "yourself", "u", "ur", "tu", "te", "toi", "to
 #: Insults that count before anything is learned.
 INSULTS = {"idiot", "idiots", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "pathetic", "worthless", "disgusting", "clown", "clowns", "dumb", "garbage", "fool", "imbecile", "cretin", "filth", "vermin", "idiota", "idiotas", "estúpido", "imbécil", "basura", "asqueroso", "crétin", "débile", "ordure", "connard", "dummkopf", "trottel", "abschaum", "widerlich", "blödmann"}
 N_FEATURES = 17
+#: All characters up to U+FFFF of which str.isupper holds, one table for re; and the characters above.
+_CAPITAL = re.compile("[" + "".join(c for c in map(chr, range(0x10000)) if c.isupper()) + "]")
+_ABOVE = re.compile("[\U00010000-\U0010ffff]")
 
 
 def featurise(text: str, lexicon: dict[str, float]) -> list[float]:
@@ -29,15 +32,14 @@ def featurise(text: str, lexicon: dict[str, float]) -> list[float]:
     words = _WORD.findall(text.lower())
     n = max(len(words), 1)
     hits = [lexicon[w] for w in words if w in lexicon]
-    near = second = 0
-    if hits:
+    near = 0
+    second = sum(map(_SECOND.__contains__, words))
+    if hits and second:
         marks = [i for i, w in enumerate(words) if w in _SECOND]
-        second = len(marks)
-        if marks:
-            places = np.array([i for i, w in enumerate(words) if w in lexicon])
-            at = np.searchsorted(marks, places)
-            m = np.array([-99, *marks, 10**9])
-            near = int((np.minimum(places - m[at], m[at + 1] - places) <= 5).sum())
+        places = np.array([i for i, w in enumerate(words) if w in lexicon])
+        at = np.searchsorted(marks, places)
+        m = np.array([-99, *marks, 10**9])
+        near = int((np.minimum(places - m[at], m[at + 1] - places) <= 5).sum())
     masked = 0.0
     found = 0
     for m in _MASKED.finditer(text):
@@ -49,7 +51,7 @@ def featurise(text: str, lexicon: dict[str, float]) -> list[float]:
             pattern = re.compile(re.escape(plain).replace(r"\*", r"\w"))
             masked += max((v for k, v in lexicon.items() if len(k) == len(plain) and pattern.fullmatch(k)), default=0.0)
     chars = max(len(text), 1)
-    capitals = sum(map(str.isupper, text)) if chars < 2000 else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
+    capitals = len(_CAPITAL.findall(text)) + sum(map(str.isupper, _ABOVE.findall(text)))
     return [
         np.log1p(len(words)),
         float(len(hits)),

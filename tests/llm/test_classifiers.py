@@ -34,6 +34,13 @@ def test_toxicity_features():
     assert T.featurise("x" * 500_000, lexicon)[1] == 0
 
 
+def test_toxicity_features_have_one_definition_at_every_length():
+    for text in ("ПРИВЕТ ВСЕМ ", "ΓΕΙΑ ΣΟΥ ", "ŻÓŁĆ ŁĄKA ", "ǅ 𝐀𝐁 Ⅷ Ab "):
+        capitals = sum(map(str.isupper, text)) / len(text)
+        assert capitals > 0.1 and all(abs(T.featurise(text * k, {})[11] - capitals) < 1e-12 for k in (1, 10, 500))
+    assert T.featurise("you and your dog", {})[10] == T.featurise("you and your dog", {"dog": 1.0})[10] == 0.5
+
+
 def test_toxicity_on_held_out_rows(spark):
     d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     r = T.score_documents(d, labels).join(labels, "doc_id").toPandas()
