@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,19 @@ def hash_share(column: str, seed: int) -> Column:
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only where a session names none, as in tests, is it below Spark's warehouse.
+    Only a local session that names none, as in tests, has it below Spark's warehouse.
     """
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("a cluster's session has to name its shared folder in spark.checkpoint.dir")
+    return named or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, from a Parquet table in the shared folder."""
+    folder = f"{scratch_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
