@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 _ENCODERS: dict[str, object] = {}
+_WHOLE: dict[str, object] = {}
 
 
 def encoder(path: str):
@@ -36,6 +38,32 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+_BLANK_RUN = re.compile(r"\s{100,}")
+LONGEST_RUN = 10_000
+
+
+def has_long_run(text: str) -> bool:
+    """Whether characters other than white space, or white space, run on beyond ``LONGEST_RUN``."""
+    if len(text) <= LONGEST_RUN:
+        return False
+    return max(map(len, text.split()), default=0) > LONGEST_RUN or any(m.end() - m.start() > LONGEST_RUN for m in _BLANK_RUN.finditer(text))
+
+
+def encode(path: str, text: str) -> np.ndarray:
+    """The ids that ``tokenizers`` gives a text of any length, special tokens of its own not added.
+
+    ``tiktoken`` matches its pattern by backtracking, whose stack ends in runs of
+    about a million blanks; texts with long runs go to ``tokenizers`` itself.
+    """
+    if not has_long_run(text):
+        return np.asarray(encoder(path).encode_to_numpy(text, allowed_special="all"), dtype="<u4")
+    if path not in _WHOLE:
+        from tokenizers import Tokenizer
+
+        _WHOLE[path] = Tokenizer.from_file(path)
+    return np.asarray(_WHOLE[path].encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
 def best_fill(counts: dict[int, int], lengths: list[int], capacity: int) -> dict[int, int]:
     """Counts of the lengths whose sum is the largest one up to ``capacity``.
 
@@ -177,11 +205,10 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer_path: str | None = Non
     path = tokenizer_path or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
         packer = Packer(capacity, TaskContext.get().partitionId() << 36, block_tokens)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.asarray(encode.encode_to_numpy(text.as_py() or "", allowed_special="all"), dtype="<u4")
+                ids = encode(path, text.as_py() or "")
                 packer.add(doc_id.as_py(), np.append(ids, np.array([end_id], "<u4")))
                 if len(packer.rows[0]) >= 20_000:
                     yield packer.flush()

@@ -57,3 +57,29 @@ def test_blocks_bound_what_is_held():
     for s, n in zip(p.rows[5], p.rows[2], strict=True):
         total[s] = total.get(s, 0) + n
     assert sum(total.values()) == 200 * 600 and all(n == 1024 or n & (n - 1) == 0 for n in total.values())
+
+
+def test_ids_of_all_kinds_of_characters_and_runs():
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    t = Tokenizer.from_file(path)
+    r = random.Random(3)
+    kinds = ["a", "Z", "é", "漢", "я", "1", "½", "Ⅷ", "!", "-", "'", "'s", "'ll", " ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\u3000", "\u0085", "\u200b", "\u0301", "\U0001f600", "\x00", "\x1c", "<|endoftext|>", "ى", "\ufeff", "\ue000"]
+    texts = ["".join(r.choice(kinds) * r.choice([1, 1, 2, 3, 7]) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += ["".join(chr(r.choice([r.randrange(0x250), r.randrange(0x3000), r.randrange(0xE000, 0x20000)])) for _ in range(30)) for _ in range(1000)]
+    n = 12_000
+    texts += [f"x{c * n}{end}" for c in " \nza1!漢" for end in ("", "y", " y", "\n")] + [" " * n, ("\n" * (n // 2) + " ") * 3 + "x", " \n" * n + "é", "ab 1!" * n]
+    for x in texts:
+        assert packing.encode(path, x).tolist() == t.encode(x, add_special_tokens=False).ids, x[:50]
+
+
+def test_runs_of_millions(spark):
+    n = 5_000_000
+    texts = [" " * n, "\n" * n + "x", "z" * n, "1!" * (n // 2), "x" + "\t" * n]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert packing.has_long_run(texts[0]) and packing.has_long_run(texts[3]) and not packing.has_long_run("ab " * n)
+    got = {r.doc_id: (r.n, r.m) for r in packing.pack(docs).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).toDF("doc_id", "n", "m").collect()}
+    assert len(got) == 5 and all(a == b > 1 for a, b in got.values()) and got[0][0] == n + 1
