@@ -12,20 +12,25 @@ from pyspark.sql import DataFrame
 
 from cytoframe.llm.html_pages import labelled_pages
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_IN_TAG = re.compile(r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)")
+#: A reference of more digits than Python would read at once.
+_LONG_REFERENCE = re.compile(r"&#0*+(\d*+);?")
 _CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _MAYBE_HIDDEN = re.compile(r"hidden|none", re.I)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Elements whose text is raw and never content.
-_RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "title", "select", "canvas", "noframes"}
+_RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "select", "noframes"}
 #: Elements that hold page furniture.
 _OUTSIDE = {"head", "nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "label", "option"}
-_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "picture", "source", "input"}
+_INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "picture", "source", "input", "object", "canvas", "math", "semantics", "annotation", "mi", "mo", "mn", "ms", "mtext", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mtable", "mtr", "mtd", "mstyle", "mspace"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words of class, id and role that mark page furniture or content.
 _FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "adslot", "adunit", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "submenu", "topbar", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "header", "masthead", "comment", "comments", "commentlist", "commentform", "discussion", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "cookiebar", "cookiebanner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
 _CONTENT = {"article", "content", "post", "entry", "story", "main", "body", "text", "articlebody"}
+#: No tag costs less.
+LEAST = -0.01
 _ABOUT = {"has", "with", "no", "without", "is", "not"}
 #: Classes that hide an element; in others, as overflow-hidden and hidden-xs, the word says something else.
 _HIDING = {"hidden", "is-hidden", "visually-hidden"}
@@ -64,70 +69,143 @@ def _kind(name: str, attributes: str) -> str:
     return "in" if name in ("article", "main") else ""
 
 
+class _Open:
+    """The open elements, with the places of what is asked for, so that each question takes one step at any depth."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool, str]] = []  # name, furniture, content, the tag's kind
+        self.places: dict[str, list[int]] = {}
+        self.furniture: list[int] = []
+        self.solid: list[int] = []
+        self.content = self.links = 0
+
+    def push(self, name: str, kind: str) -> None:
+        at = len(self.stack)
+        self.stack.append((name, kind.endswith("out"), kind == "in", kind))
+        self.places.setdefault(name, []).append(at)
+        if kind.endswith("out"):
+            self.furniture.append(at)
+        if name not in _INLINE:
+            self.solid.append(at)
+        self.content += kind == "in"
+        self.links += name == "a"
+
+    def last(self, name: str) -> int:
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    def furniture_from(self, at: int) -> bool:
+        return bool(self.furniture) and self.furniture[-1] >= at
+
+    def pop(self) -> tuple[str, bool, bool, str]:
+        own = self.stack.pop()
+        at = len(self.stack)
+        self.places[own[0]].pop()
+        if self.furniture and self.furniture[-1] == at:
+            self.furniture.pop()
+        if self.solid and self.solid[-1] == at:
+            self.solid.pop()
+        self.content -= own[2]
+        self.links -= own[0] == "a"
+        return own
+
+
+def markup(page: str) -> Iterator[tuple[int, int, str | None, str, str]]:
+    """(start, end, name or None, slash, attributes) of each comment, declaration and tag, in one scan.
+
+    A tag ends at the first > outside quotes, or, where its quotes do not
+    close, at the first one; a < that no > follows is text.
+    """
+    at, last_end = page.find("<"), page.rfind(">")
+    while at >= 0:
+        end = -1
+        name, slash, attributes = None, "", ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            end = end if end > 2 else len(page)
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9) + 3
+            end = end if end > 2 else len(page)
+        elif at < last_end:
+            if page[at + 1] in "!?":
+                end = page.find(">", at) + 1
+            elif m := _NAME.match(page, at + 1):
+                slash, name = m[1], m[2].lower()
+                inner = _IN_TAG.match(page, m.end())
+                close = inner.end() if inner else page.find(">", m.end())
+                if close >= 0:
+                    attributes, end = page[m.end() : close], close + 1
+        if end > 0:
+            yield at, end, name, slash, attributes
+        at = page.find("<", max(end, at + 1))
+
+
 def tokens(page: str) -> list[tuple]:
     """A page as a list of ("w", text, in a link), ("t", name) and ("b",), where a block ends.
 
     Page furniture and raw elements are tags alone: their text never scores.
-    Elements that nobody closes end with the one around them.
+    Elements that nobody closes end with the one around them.  The work grows
+    with the page's length, whatever is nested or left open in it.
     """
     out: list[tuple] = []
-    stack: list[tuple[str, bool, bool, str]] = []  # name, furniture, content, the tag's kind
-    outside, links, at = 0, 0, 0
+    own = _Open()
+    ends: dict[str, tuple[int, int]] = {}  # the next end tag of a raw element, where one was looked for
     position = 0
-    while position < len(page):
-        m = _TOKEN.search(page, position)
-        text = page[position : m.start() if m else len(page)]
-        if text and not outside:
-            out.append(("w", text, links > 0))
-        if not m:
-            break
-        position = m.end()
-        name = m[2]
+    for start, end, name, closing, attributes in markup(page):
+        if start < position:  # within a raw element
+            continue
+        if start > position and not own.furniture:
+            out.append(("w", page[position:start], own.links > 0))
+        position = end
         if name is None:
             continue
-        name, closing, attributes = name.lower(), m[1], m[3]
         if name in _RAW:
             if closing:
                 continue
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, position)
-            position = end.end() if end else len(page) if name in ("script", "style") else position
-            if name not in ("script", "style", "noscript", "template", "svg", "math"):
+            if ends.get(name, (0, 0))[0] < position:
+                m = re.compile(rf"</{name}\s*+>", re.I).search(page, position)
+                ends[name] = m.span() if m else (len(page) + 1, 0)
+            found = ends[name][1]
+            position = found if found else len(page) if name in ("script", "style") else position
+            if name not in ("script", "style", "noscript", "template", "svg"):
                 out.append(("b",))
             continue
         if name not in _INLINE:
             out.append(("b",))
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            at = own.last(name)
             if at < 0:
                 continue
-            if any(x[1] for x in stack[at + 1 :]) and name in ("p", "li", "span", "b", "i", "a", "em", "strong"):
+            if own.furniture_from(at + 1) and name in ("p", "li", "span", "b", "i", "a", "em", "strong"):
                 continue  # the end tag of something outside the furniture cannot close it
-            for x in reversed(stack[at:]):
-                outside -= x[1]
-                links -= x[0] == "a"
+            while len(own.stack) > at:
+                x = own.pop()
                 out.append(("t", "/" + (x[3] or x[0])))
-            del stack[at:]
             continue
-        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack:
+        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and own.solid:
             # such elements end where the next one starts, with inline ones that are open in them
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name and not any(x[1] for x in stack[i:]):
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
+            at = own.solid[-1]
+            if own.stack[at][0] == name and not own.furniture_from(at):
+                while len(own.stack) > at:
+                    own.pop()
         kind = _kind(name, attributes)
-        if any(x[2] for x in stack):  # within marked content nothing but its end is a border
+        if own.content:  # within marked content nothing but its end is a border
             kind = "inner out" if kind == "out" else ""
         out.append(("t", kind if kind else name))
         if name not in _VOID and not attributes.endswith("/"):
-            stack.append((name, kind.endswith("out"), kind == "in", kind))
-            outside += kind.endswith("out")
-            links += name == "a"
+            own.push(name, kind)
+    if position < len(page) and not own.furniture:
+        out.append(("w", page[position:], own.links > 0))
     return out
 
 
+def decoded(text: str) -> str:
+    """``text`` with its character references decoded, whatever their length."""
+    if "&#" in text:
+        text = _LONG_REFERENCE.sub(lambda m: m[0] if len(m[0]) < 20 else f"&#{m[1]};" if 0 < len(m[1]) < 8 else "\ufffd", text)
+    return html.unescape(text)
+
+
 def blocks(page: str, weights: dict[str, float]) -> list[tuple[float, float, str]]:
     """Each block as (score of the tags before it, score of its words, its text)."""
     found: list[tuple[float, float, str]] = []
@@ -135,7 +213,7 @@ def blocks(page: str, weights: dict[str, float]) -> list[tuple[float, float, str
 
     def close() -> None:
         nonlocal tags, words, parts
-        text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
+        text = " ".join(decoded("".join(parts)).split()) if parts else ""
         if text:
             found.append((tags, words, text))
             tags, words = 0.0, 0.0
@@ -178,11 +256,10 @@ def learned_weights(rounds: int = 30) -> tuple[tuple[str, float], ...]:
 
     A structured perceptron over tag counts: where the best run is wrong, tags
     of the true run gain and tags of the found one lose; words stay positive and
-    tags negative.  Averaged over all steps.
+    tags negative.  The weights of the last step, after a round without a wrong
+    page where there is one.
     """
-    weights = {"word": 1.0, "link": 0.2, "other": -0.2, "in": -10.0, "/in": -10.0, "out": -5.0, "/out": -5.0, "inner out": 0.0, "/inner out": 0.0}
-    sums: dict[str, float] = {}
-    steps = 0
+    weights = {"word": 1.0, "link": 0.2, "other": -0.2, "in": -10.0, "/in": -10.0, "out": -5.0, "/out": -5.0, "inner out": LEAST, "/inner out": LEAST}
 
     def features(page_tokens: list[tuple], span: tuple[int, int]) -> dict[str, int]:
         counts: dict[str, int] = {}
@@ -214,10 +291,7 @@ def learned_weights(rounds: int = 30) -> tuple[tuple[str, float], ...]:
                 wrong += 1
                 plus, minus = features(own, (true, true + len(gold))), features(own, span)
                 for name in set(plus) | set(minus):
-                    weights[name] = min(0.0, weights.get(name, weights["other"]) + 0.5 * (plus.get(name, 0) - minus.get(name, 0)))
-            steps += 1
-            for name, value in weights.items():
-                sums[name] = sums.get(name, 0.0) + value
+                    weights[name] = min(LEAST, weights.get(name, weights["other"]) + 0.5 * (plus.get(name, 0) - minus.get(name, 0)))
         if not wrong:
             break
     return tuple(sorted(weights.items()))
@@ -236,8 +310,9 @@ def extract_pages(pages: DataFrame, max_rows: int = 500) -> DataFrame:
     """page_id, url, text, n_chars for every row: its main text from its whole html.
 
     Null and empty html gives an empty text; pages without any block too.  A tie
-    goes to the earlier run.  Rows that repeat are extracted each, extra columns
-    are not read.
+    goes to the earlier run.  Pages of any length and nesting are scanned once.
+    Rows that repeat are extracted each, an empty table gives none, extra
+    columns are not read.
     """
     weights = dict(learned_weights())
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}

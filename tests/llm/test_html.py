@@ -5,7 +5,7 @@ W = dict(H.learned_weights())
 
 
 def test_words_are_positive_and_tags_negative():
-    assert W["word"] > 0 and all(v <= 0 for k, v in W.items() if k not in ("word", "link"))
+    assert W["word"] > 0 and all(v < 0 for k, v in W.items() if k not in ("word", "link"))
 
 
 def test_labelled_pages_and_others_of_their_kind():
@@ -51,3 +51,23 @@ def test_table(spark):
     got = [tuple(r) for r in H.extract_pages(df).collect()]
     assert got == [(1, "u", "", 0), (2, None, "", 0), (3, "u", "Some text of a page.", 20), (3, "u", "Some text of a page.", 20), (None, "u", "é", 1)]
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+def test_work_grows_with_the_length():
+    import time
+
+    n = 200_000
+    parts = ["<a", "<div>", "<a<b>", "<!", "<!-", "<p><b>", "<svg>", "<iframe>", "</span><div>", "<b></p>", "<b><li>", "<a \"", "<a '\">", "<nav><p></p>", "</", "&#1", "&", "<a href=x>", "<textarea", "<article>", "</svg", "<a \"'>", "<![CDATA["]
+    for part in parts:
+        began = time.perf_counter()
+        H.extract("<p>word</p>" + part * n, W)
+        H.extract("<b>" * n + part * n + ">", W)
+        assert time.perf_counter() - began < 25, part
+
+
+def test_long_references():
+    assert H.extract("<p>a &#" + "1" * 6000 + "; b &#" + "0" * 6000 + "65; c &#65; &#x41; &#0000000000000000000000066; &#00000000000000000000; d</p>", W) == "a \ufffd b A c A A B \ufffd d"
+
+
+def test_text_of_formulas_and_fallbacks_stays():
+    assert H.extract("<article><p>one <math><mi>x</mi><mo>+</mo><mn>1</mn></math> two <canvas>drawn</canvas> and <object>held</object></p></article>", W) == "one x+1 two drawn and held"
