@@ -1,15 +1,22 @@
-"""Benchmark decontamination by a hash set of the items' word windows, with DataFrame expressions alone."""
+"""Benchmark decontamination by a broadcast hash set of the items' word windows, with DataFrame expressions alone.
+
+The set is a bitmap of the windows' hashes, two bits each, of at most
+``MOST_SLOTS`` numbers whatever the size of the benchmark: one row that every
+task gets.  Places of a document whose bits are set are candidates; they are
+verified by a join with the windows themselves.  A benchmark that fills the
+bitmap makes more candidates, and no other result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoframe.llm.tables import checkpointed
+from cytoframe.llm.tables import checkpointed, spread_join, written
 
 WINDOW = 10
-#: Windows in one pass over the documents; longer benchmarks take more passes.
-WINDOWS_A_PASS = 50_000
+#: 64-bit numbers of the bitmap at most, 8 MB; a benchmark of up to as many windows has one for each.
+MOST_SLOTS = 1 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,68 +36,113 @@ def windows_of(benchmark: DataFrame) -> DataFrame:
     return words.select("item_id", width.alias("len"), F.explode(F.transform(at, lambda i: F.array_join(F.slice("words", i, width), " "))).alias("window")).distinct()
 
 
-def _sql_set(values: list, quote: bool) -> str:
-    if quote:  # words hold no quote and no backslash: they are letters, digits and what is not ASCII
-        return ", ".join("'" + v + "'" for v in values)
-    return ", ".join(f"{v}L" if v >= 0 else f"({v}L)" for v in values)
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def with_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``docs`` with scanned: n_words and hits, an array of (at, len, window) of verified windows of the benchmark.
+def _hash_at(hashes: Column, at: Column, length: int) -> Column:
+    """Hash of the ``length`` words from ``at`` on, by the words' own hashes."""
+    return F.xxhash64(*[F.get(hashes, at + k) for k in range(length)])
 
-    The window hashes go to every task as a hash set, in passes of at most
-    ``WINDOWS_A_PASS``; a hash that is in it is verified by its words.
-    """
-    unique = checkpointed(windows.select("len", "window", F.xxhash64("window").alias("h")).distinct())
-    total = unique.count()
-    passes = max(1, -(-total // WINDOWS_A_PASS))
-    arrays = []
-    for k in range(passes):
-        rows = unique.where(F.pmod(F.col("h"), F.lit(passes)) == k).collect() if total else []
-        for length in sorted({r.len for r in rows}):
-            mine = [r for r in rows if r.len == length]
-            hashes = _sql_set(sorted({r.h for r in mine}), False)
-            spelled = _sql_set(sorted(r.window for r in mine), True)
-            joined = f"array_join(slice(w, i, {length}), ' ')"
-            at = f"filter(sequence(1, size(w) - {length - 1}), i -> xxhash64({joined}) IN ({hashes}) AND {joined} IN ({spelled}))"
-            arrays.append(f"CASE WHEN size(w) >= {length} THEN transform({at}, i -> struct(i AS at, {length} AS len, {joined} AS window)) ELSE array() END")
-    hits = f"concat({', '.join(arrays)})" if arrays else "cast(array() AS array<struct<at: int, len: int, window: string>>)"
-    # The lambda binds the words, so that no rewrite of the plan evaluates them again for each window.
-    words = f"array_remove(split(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), r'{_NOT_WORD}'), '')"
-    scanned = F.expr(f"transform(array({words}), w -> struct(cast(size(w) AS bigint) AS n_words, {hits} AS hits))[0]")
-    return docs.withColumn("scanned", scanned)
+
+def _probes(h: Column, slots: int) -> list[tuple[Column, Column]]:
+    """The places, number and bit, of a hash in a bitmap."""
+    return [(F.shiftrightunsigned(h, low + 6).bitwiseAND(F.lit(slots - 1)), F.shiftrightunsigned(h, low).bitwiseAND(F.lit(63)).cast("int")) for low in (0, 32)]
+
+
+def bitmap(windows: DataFrame, slots: int) -> DataFrame:
+    """One row: bits, an array of ``slots`` numbers, a power of two, in which each window's two bits are set."""
+    hashes = windows.select(F.transform(F.split("window", " "), lambda w: F.xxhash64(w)).alias("w"), "len").distinct()
+    whole = F.lit(None).cast("long")
+    for n in range(1, WINDOW + 1):
+        whole = F.when(F.col("len") == n, _hash_at(F.col("w"), F.lit(0), n)).otherwise(whole)
+    places = F.array(*[F.struct(slot.alias("slot"), bit.alias("bit")) for slot, bit in _probes(F.col("h"), slots)])
+    numbers = hashes.select(whole.alias("h")).select(F.explode(places).alias("p")).groupBy(F.col("p.slot").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, p.bit)")).alias("bits"))
+    every = windows.sparkSession.range(slots).withColumnRenamed("id", "slot").join(numbers, "slot", "left")
+    return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))), lambda x: x["bits"]).alias("bits"))
+
+
+def with_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``docs`` with scanned: n_words and hits, an array of (at, len, window) of all places whose window's bits are set."""
+    lengths = windows.groupBy("len").agg(F.count("*").alias("n")).orderBy("len").collect()  # at most WINDOW rows
+    slots = 1
+    while slots < min(sum(r.n for r in lengths), MOST_SLOTS):
+        slots *= 2
+    bits = checkpointed(bitmap(windows, slots))
+
+    def scan(x: Column) -> Column:
+        """The words and their hashes are bound by lambdas, so that no rewrite of the plan evaluates them again for each window."""
+        words, hashes, bits = x["words"], x["hashes"], x["bits"]
+
+        def is_set(h: Column, bits: Column) -> Column:
+            slots_set = [F.call_function("shiftright", F.get(bits, slot.cast("int")), bit).bitwiseAND(F.expr("1L")) == 1 for slot, bit in _probes(h, slots)]
+            return slots_set[0] & slots_set[1]
+
+        def of_length(n: int) -> Column:
+            places = F.filter(F.sequence(F.lit(0), F.size(words) - n), lambda at: _bound(_hash_at(hashes, at, n), lambda h: is_set(h, bits)))
+            places = F.when(F.size(words) >= n, places).otherwise(F.array().cast("array<int>"))
+            return F.transform(places, lambda at: F.struct((at + 1).alias("at"), F.lit(n).alias("len"), F.array_join(F.slice(words, at + 1, F.lit(n)), " ").alias("window")))
+
+        found = F.concat(*[of_length(r.len) for r in lengths])
+        return F.struct(F.size(words).cast("long").alias("n_words"), found.alias("hits"))
+
+    if not lengths:
+        none = F.array().cast("array<struct<at:int,len:int,window:string>>")
+        return docs.withColumn("scanned", F.struct(F.size(words_of(F.col("text"))).cast("long").alias("n_words"), none.alias("hits")))
+    # The bitmap is a scalar subquery, which a task holds once, not a column, which each row would copy.
+    hashed = _bound(words_of(F.col("text")), lambda w: F.struct(w.alias("words"), F.transform(w, lambda x: F.xxhash64(x)).alias("hashes"), F.col("_bits").alias("bits")))
+    return docs.withColumn("_bits", bits.scalar()).withColumn("scanned", _bound(hashed, scan)).drop("_bits")
 
 
 def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document: words, hit words, items and whether it is contaminated.
 
-    Null texts have no words.  Items whose text is null or has no word have no
-    windows; items that repeat count once.  Repeated documents are reported
-    each.  An empty benchmark hits nothing.  Extra columns are not read.
+    Null texts have no words; texts of any length are scanned as a whole.  Items
+    whose text is null or has no word have no windows; items that repeat count
+    once.  Repeated documents are reported each.  An empty benchmark hits
+    nothing, an empty table gives no rows.  Extra columns are not read.
     """
     windows = checkpointed(windows_of(benchmark))
-    found = with_hits(documents.select("doc_id", "text"), windows).select("doc_id", "scanned.n_words", "scanned.hits")
-    found = checkpointed(found).withColumn("row", F.monotonically_increasing_id())
-    clean = found.where(F.size("hits") == 0).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
-    hit = found.where(F.size("hits") > 0)
+    found = with_candidates(documents.select("doc_id", "text"), windows).select("doc_id", "scanned.n_words", "scanned.hits")
+    found = checkpointed(found.withColumn("row", F.monotonically_increasing_id()))
+    zero = F.lit(0).cast("long")
+    clean = found.where(F.size("hits") == 0).select("doc_id", "n_words", zero.alias("n_hit"), zero.alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
+    placed = found.where(F.size("hits") > 0).select("row", "doc_id", "n_words", F.explode("hits").alias("hit")).select("row", "doc_id", "n_words", F.col("hit.at").cast("long").alias("at"), F.col("hit.len").cast("long").alias("len"), "hit.window")
+    seen = spread_join(placed, windows.select("item_id", "window"), "window")
+    # An item's id may be null; a candidate that is no window has no row of the windows.
+    items = seen.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("n_words").alias("n_words"),
+        F.sort_array(F.collect_set(F.when(F.col("matched"), F.struct("at", "len")))).alias("spans"),
+        F.sort_array(F.collect_set(F.when(F.col("matched"), F.col("item_id").cast("string")))).alias("items"),
+    )
     covered = F.aggregate(
-        F.sort_array(F.transform("hits", lambda x: F.struct(x["at"].cast("long").alias("at"), x["len"].cast("long").alias("len")))),
-        F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n")),
-        lambda a, x: F.struct(F.greatest(a["end"], x["at"] + x["len"]).alias("end"), (a["n"] + F.greatest(F.lit(0).cast("long"), x["at"] + x["len"] - F.greatest(a["end"], x["at"]))).alias("n")),
+        "spans",
+        F.struct(zero.alias("end"), zero.alias("n")),
+        lambda a, x: F.struct(F.greatest(a["end"], x["at"] + x["len"]).alias("end"), (a["n"] + F.greatest(zero, x["at"] + x["len"] - F.greatest(a["end"], x["at"]))).alias("n")),
         lambda a: a["n"],
     )
-    seen = hit.select("row", "doc_id", "n_words", covered.alias("n_hit"), F.explode(F.array_distinct(F.transform("hits", lambda x: x["window"]))).alias("window"))
-    items = seen.join(windows.select("item_id", "window"), "window").groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    dirty = items.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), F.lit(True).alias("contaminated"))
+    dirty = items.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
     return clean.union(dirty)
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any window of the benchmark, in one pass without a shuffle."""
+    """The documents without any window of the benchmark.
+
+    Nulls, repeated rows, empty tables and columns of any name as in ``report``;
+    all columns pass through.  The texts are scanned once; only candidates meet
+    the windows, by the numbers of their rows.
+    """
     columns = documents.columns
+    windows = checkpointed(windows_of(benchmark))
     held = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
-    found = with_hits(documents.select(*held, F.col("text").alias("text")), windows_of(benchmark))
-    return found.where(F.size("scanned.hits") == 0).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    scanned = with_candidates(documents.select(*held, F.col("text").alias("text")), windows).drop("text").select("*", F.transform("scanned.hits", lambda x: x["window"]).alias("windows")).drop("scanned")
+    scanned = written(scanned.withColumn("row", F.monotonically_increasing_id()))
+    suspects = scanned.where(F.size("windows") > 0)
+    dirty = spread_join(suspects.select("row", F.explode(F.array_distinct("windows")).alias("window")), windows.select("window").distinct(), "window").where("matched").select("row").distinct()
+    kept = scanned.where(F.size("windows") == 0).union(suspects.join(dirty, "row", "left_anti").select(scanned.columns))
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 ORACLE_SQL = r"""

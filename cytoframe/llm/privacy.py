@@ -65,8 +65,6 @@ def _any(*kinds: str) -> str:
 
 # The same alternatives in the same order, each group behind a test of one character or two.
 ENTITY = rf"(?<![A-Za-z0-9])(?=[\w.%+-]){_any('email', 'secret', 'iban')}|(?=[0-9+(]){_any('ip', 'ssn', 'phone', 'card')}|{_any('credential')}|(?=[\p{{Lu}}г]){_any('name')}"
-#: A text without any of these holds no entity: secrets alone need no digit, @ or title.
-_MAYBE = r"[@0-9]|AKIA|gh[pousr]_|sk-|xox[bap]-|[a-f]{32}|[A-F]{32}|" + f"{_TITLE}|{_GIVEN} "
 #: A word of a name that stands alone, as later mentions do.
 _MENTION = r"(?<![\p{L}\p{N}])" + _WORD + r"(?!\p{L})"
 # Characters for private use mark entities; where a text holds them itself they are escaped.
@@ -277,7 +275,7 @@ def parts_of(text: Column) -> Column:
     """
     safe = F.regexp_replace(F.regexp_replace(text, _ESCAPE, _ESCAPE + _IS_ESCAPE), _MARK, _ESCAPE + _IS_MARK)
     safe = F.when(text.rlike(f"[{_MARK}{_ESCAPE}]"), safe).otherwise(text)
-    marked = F.when(text.rlike(_MAYBE), F.regexp_replace(safe, ENTITY, f"{_MARK}$0{_MARK}")).otherwise(safe)
+    marked = F.regexp_replace(safe, ENTITY, f"{_MARK}$0{_MARK}")
 
     def mentions(parts: Column) -> Column:
         found = F.filter(parts, lambda x, i: (i % 2 == 1) & x.rlike(r"\A" + PATTERNS["name"] + r"\z"))

@@ -46,3 +46,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(scratch_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, most_hot: int = 100_000, least: int = 512) -> DataFrame:
+    """All rows of ``left``, with the other columns of ``right`` where its ``key`` is found, and ``matched``.
+
+    Keys that hold more than ``1 / most_hot`` of the left rows, and ``least`` of
+    them, are hot.  There are at most ``most_hot``, so that the right rows of the
+    hot keys that have few of them are broadcast; the left rows of hot keys are
+    not brought together but dealt over all tasks.  ``left`` is read twice: cut
+    its lineage before.
+    """
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot_keys = checkpointed(counts.where(F.col("_n") > max(least, total // most_hot)).select(key))
+    rest = right.join(F.broadcast(hot_keys), key, "left_anti")
+    # Up to 16 rows of the right for a hot key, so that what is broadcast has a bound; others meet in the join below.
+    hot = right.join(F.broadcast(hot_keys), key, "left_semi")
+    few = checkpointed(hot.groupBy(key).agg(F.count("*").alias("_n")).where("_n <= 16").select(key))
+    others = [c for c in right.columns if c != key]
+    lists = hot.join(F.broadcast(few), key, "left_semi").groupBy(key).agg(F.collect_list(F.struct(*others, F.lit(1).alias("_one"))).alias("_hot"))
+    rest = rest.union(hot.join(F.broadcast(few), key, "left_anti").select(rest.columns))
+    marked = left.join(F.broadcast(lists), key, "left")
+    found = marked.where("_hot is not null").select(*left.columns, F.explode("_hot").alias("_h")).select(*left.columns, *[F.col(f"_h.{c}").alias(c) for c in others], F.lit(True).alias("matched"))
+    cold = marked.where("_hot is null").select(*left.columns).join(rest.withColumn("_found", F.lit(True)), key, "left")
+    return found.union(cold.select(*left.columns, *others, F.coalesce("_found", F.lit(False)).alias("matched")))

@@ -39,8 +39,8 @@ def frames(spark, docs=DOCS, items=ITEMS):
 
 def test_report(spark, monkeypatch):
     docs, items = frames(spark)
-    for limit in (50_000, 3):
-        monkeypatch.setattr(D, "WINDOWS_A_PASS", limit)  # one pass, and several
+    for limit in (1 << 20, 2):
+        monkeypatch.setattr(D, "MOST_SLOTS", limit)  # a bitmap that all windows fit, and one that is full
         got = sorted((tuple(r) for r in D.report(docs, items).collect()), key=lambda r: (r[0] is None, r))
         assert got == brute(DOCS, ITEMS)
 
@@ -52,3 +52,26 @@ def test_filter_and_empty_tables(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(clean)
     assert D.keep_clean(docs, items.limit(0)).count() == len(DOCS)
     assert D.report(docs.limit(0), items).count() == 0 and D.report(docs, items.limit(0)).where("contaminated").count() == 0
+
+
+def test_a_large_benchmark_makes_no_large_plan(spark):
+    from pyspark.sql import functions as F
+
+    items = spark.range(20_000).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit(f"q{k}x"), F.col("id")) for k in range(20)]).alias("text"))
+    docs = spark.createDataFrame([(1, "a b " + " ".join(f"q{k}x777" for k in range(3, 14)) + " c"), (2, "clean text " * 50), (3, " ".join(f"q{k}x19999" for k in range(9)))], "doc_id long, text string")
+    windows = D.windows_of(items)
+    assert windows.count() == 220_000
+    scanned = D.with_candidates(docs, windows)
+    assert len(scanned._jdf.queryExecution().toString()) < 200_000
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in D.report(docs, items).collect()}
+    assert got == {1: (14, 11, 1), 2: (100, 0, 0), 3: (9, 0, 0)}
+    assert [r.doc_id for r in D.keep_clean(docs, items).orderBy("doc_id").collect()] == [2, 3]
+    assert {r.doc_id: r.n for r in scanned.select("doc_id", F.size("scanned.hits").alias("n")).collect()} == {1: 2, 2: 0, 3: 0}
+
+
+def test_hot_windows(spark):
+    passage = " ".join(f"p{k}" for k in range(12))
+    docs = spark.range(3000).selectExpr("id as doc_id", f"concat('x', id, ' {passage} y', id) as text")
+    items = spark.createDataFrame([(i, passage) for i in range(40)] + [(100, "x5 p0 p1 p2 p3 p4 p5 p6 p7 p8")], "item_id long, text string")
+    got = {(r.n_hit, r.n_items): r.n for r in D.report(docs, items).groupBy("n_hit", "n_items").count().withColumnRenamed("count", "n").collect()}
+    assert got == {(12, 40): 2999, (13, 41): 1}
