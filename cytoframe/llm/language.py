@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,8 +17,6 @@ ORDER = 4  # bytes of context at most; a gram is a context and the byte after it
 PAD = 0x0A
 EVIDENCE_BYTES = 48.0
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
-_SLOT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _fold_table() -> np.ndarray:
@@ -59,154 +56,140 @@ def grams(out: np.ndarray) -> np.ndarray:
     return key
 
 
-class Slots:
-    """Places of known keys by hashing: a vectorised lookup that needs few rounds."""
-
-    def __init__(self, keys: np.ndarray):
-        bits = max(10, int(4 * len(keys) + 1).bit_length())
-        self.shift = np.uint64(64 - bits)
-        slot = ((keys * _SLOT) >> self.shift).astype(np.int64)
-        self.order = np.argsort(slot, kind="stable").astype(np.int32)
-        self.keys = np.append(keys[self.order], np.uint64(0xFFFFFFFFFFFFFFFF))
-        counts = np.bincount(slot, minlength=1 << bits)
-        self.first = (np.cumsum(counts) - counts).astype(np.int32)
-        self.rounds = int(counts.max()) if len(keys) else 0
-        self.counts = counts.astype(np.int32)
-
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """The place of each wanted key, -1 where it is not known."""
-        slot = (wanted * _SLOT) >> self.shift
-        found = np.full(len(wanted), -1, np.int32)
-        if not self.rounds:
-            return found
-        at = self.first[slot]
-        hit = self.keys[at] == wanted
-        found[hit] = self.order[np.minimum(at[hit], len(self.order) - 1)]
-        left = np.flatnonzero(~hit & (self.counts[slot] > 1))
-        for k in range(1, self.rounds):
-            if not len(left):
-                break
-            here = at[left] + k
-            ok = (self.keys[np.minimum(here, len(self.order))] == wanted[left]) & (k < self.counts[slot[left]])
-            found[left[ok]] = self.order[here[ok]]
-            left = left[~ok]
-            left = left[self.counts[slot[left]] > k + 1]
-        return found
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted among sorted keys, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return place, keys[place] == wanted
 
 
 @dataclass
-class Model:
-    """Context trees of all languages, merged: for each order its grams' code lengths and its contexts' escapes.
-
-    ``costs[k]`` holds, for every gram of ``k`` + 1 bytes seen in any language,
-    the exact code length in bits of its last byte after the others, for each
-    language: with escape method C, a seen byte costs -log2(count / (total +
-    distinct)); an unseen one costs the escape, -log2(distinct / (total +
-    distinct)), and what it costs after the context without its first byte; a
-    context that a language never saw costs nothing and is shortened.  Below the
-    empty context all 256 bytes are alike.
+class Tree:
+    """One language's context tree: for each order its grams' code lengths and its contexts' escapes.
+
+    ``costs[k]`` holds, for every gram of ``k`` + 1 bytes that the language has,
+    the exact code length in bits of its last byte after the others: with escape
+    method C, a seen byte costs -log2(count / (total + distinct)).  An unseen
+    one costs the escape, -log2(distinct / (total + distinct)), and what it
+    costs after the context without its first byte; a context that was never
+    seen costs nothing and is shortened.  Below the empty context all 256 bytes
+    are alike.
     """
 
-    languages: list[str]
     keys: list[np.ndarray]
     costs: list[np.ndarray]
     contexts: list[np.ndarray]
     escapes: list[np.ndarray]
 
-    def __post_init__(self) -> None:
-        self.slots = None
+    def nbytes(self) -> int:
+        return sum(x.nbytes for part in (self.keys, self.costs, self.contexts, self.escapes) for x in part)
+
+    def cost(self, key: np.ndarray) -> np.ndarray:
+        """Code length in bits of the last byte of each gram of full length."""
+        out = np.zeros(len(key), np.float32)
+        left = np.arange(len(key))
+        for k in range(ORDER, -1, -1):
+            place, known = _find(self.keys[k], key)
+            out[left[known]] += self.costs[k][place[known]]
+            left, key = left[~known], key[~known]
+            place, known = _find(self.contexts[k], key >> np.uint64(8))
+            out[left[known]] += self.escapes[k][place[known]]
+            if k:
+                key = key & np.uint64((1 << (8 * k)) - 1)
+        out[left] += 8.0
+        return out
+
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"slots": None}
+@dataclass
+class Model:
+    """The trees of all languages, each by itself, so that the size grows with what each language has."""
+
+    languages: list[str]
+    trees: list[Tree]
+
+    def nbytes(self) -> int:
+        return sum(t.nbytes() for t in self.trees)
 
     def bits(self, out: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
-        if self.slots is None:
-            self.slots = [Slots(k) for k in self.keys], [Slots(k) for k in self.contexts]
         total = np.zeros((len(lengths), len(self.languages)))
-        if not len(out):
-            return total
-        key = grams(out)
-        cost = np.empty((len(key), len(self.languages)), np.float32)
-        place = self.slots[0][ORDER].find(key)
-        cost[:] = self.costs[ORDER][place]
-        left = np.flatnonzero(place < 0)
-        cost[left] = 0
-        key = key[left]
-        for k in range(ORDER, -1, -1):
-            if not len(left):
-                break
-            context = self.slots[1][k].find(key >> np.uint64(8))
-            known = context >= 0
-            cost[left[known]] += self.escapes[k][context[known]]
-            if not k:
-                cost[left] += 8.0
-                break
-            key = key & np.uint64((1 << (8 * k)) - 1)
-            place = self.slots[0][k - 1].find(key)
-            known = place >= 0
-            cost[left[known]] += self.costs[k - 1][place[known]]
-            left, key = left[~known], key[~known]
         some = np.flatnonzero(lengths > 0)
-        if len(some):
-            bounds = np.empty(2 * len(some), np.int64)
-            bounds[0::2] = starts[some] - ORDER
-            bounds[1::2] = starts[some] - ORDER + lengths[some]
-            if bounds[-1] == len(cost):
-                bounds = bounds[:-1]
-            total[some] = np.add.reduceat(cost, bounds, axis=0, dtype=np.float64)[0::2]
+        if not len(some):
+            return total
+        key, inverse = np.unique(grams(out), return_inverse=True)
+        bounds = np.empty(2 * len(some), np.int64)
+        bounds[0::2] = starts[some] - ORDER
+        bounds[1::2] = starts[some] - ORDER + lengths[some]
+        if bounds[-1] == len(inverse):
+            bounds = bounds[:-1]
+        for j, tree in enumerate(self.trees):
+            total[some, j] = np.add.reduceat(tree.cost(key)[inverse], bounds, dtype=np.float64)[0::2]
         return total
 
 
-def build(counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Freeze the model from each language's grams of full length and their counts."""
-    languages = sorted(counted)
-    model = Model(languages, [], [], [], [])
-    below_keys, below = None, None
+def grow(grams_: np.ndarray, counts: np.ndarray) -> Tree:
+    """Freeze a language's tree from its grams of full length and their counts."""
+    tree = Tree([], [], [], [])
     for k in range(ORDER + 1):
-        mask = np.uint64((1 << (8 * (k + 1))) - 1)
-        own = {}
-        for language, (grams_, counts) in counted.items():
-            keys, inverse = np.unique(grams_ & mask, return_inverse=True)
-            own[language] = keys, np.bincount(inverse, weights=counts, minlength=len(keys))
-        keys = np.unique(np.concatenate([own[x][0] for x in languages]))
-        contexts = np.unique(keys >> np.uint64(8))
-        costs = np.empty((len(keys), len(languages)), np.float32)
-        escapes = np.zeros((len(contexts), len(languages)), np.float32)
-        shorter = np.full(len(keys), 8.0, np.float32)[:, None] if below is None else below[np.searchsorted(below_keys, keys & (mask >> np.uint64(8)))]
-        place = np.searchsorted(contexts, keys >> np.uint64(8))
-        for j, language in enumerate(languages):
-            mine, counts = own[language]
-            at = np.searchsorted(contexts, mine >> np.uint64(8))
-            total = np.bincount(at, weights=counts, minlength=len(contexts))
-            distinct = np.bincount(at, minlength=len(contexts))
-            seen = total > 0
-            escapes[seen, j] = np.log2((total[seen] + distinct[seen]) / distinct[seen])
-            costs[:, j] = shorter[:, min(j, shorter.shape[1] - 1)] + escapes[place, j]
-            costs[np.searchsorted(keys, mine), j] = np.log2((total[at] + distinct[at]) / counts)
-        model.keys.append(keys)
-        model.costs.append(costs)
-        model.contexts.append(contexts)
-        model.escapes.append(escapes)
-        below_keys, below = keys, costs
-    return model
-
-
-def train(labelled: DataFrame, docs_per_language: int = 400, longest_chars: int = 100_000, seed: int = 3) -> Model | None:
+        keys, inverse = np.unique(grams_ & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
+        own = np.bincount(inverse, weights=counts, minlength=len(keys))
+        contexts, at = np.unique(keys >> np.uint64(8), return_inverse=True)
+        total, distinct = np.bincount(at, weights=own), np.bincount(at)
+        tree.keys.append(keys)
+        tree.costs.append(np.log2((total[at] + distinct[at]) / own).astype(np.float32))
+        tree.contexts.append(contexts)
+        tree.escapes.append(np.log2((total + distinct) / distinct).astype(np.float32))
+    return tree
+
+
+def pruned(tree: Tree, grams_: np.ndarray, counts: np.ndarray, most_bytes: int) -> Tree:
+    """The tree, without the longest grams of the least counts where it is larger than ``most_bytes``.
+
+    The shorter orders stay whole, and the statistics of what is left are those
+    of all counts: a pruned gram costs its escape and what a shorter one costs,
+    and a context that has no gram left is as one that was never seen.
+    """
+    least = 2
+    while tree.nbytes() > most_bytes and least <= counts.max():
+        for k in (ORDER, ORDER - 1):
+            own = np.unique(grams_ & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            n = np.bincount(own[1], weights=counts)
+            keep = np.isin(tree.keys[k], own[0][n >= least])
+            tree.keys[k], tree.costs[k] = tree.keys[k][keep], tree.costs[k][keep]
+            used = np.isin(tree.contexts[k], np.unique(tree.keys[k] >> np.uint64(8)))
+            tree.contexts[k], tree.escapes[k] = tree.contexts[k][used], tree.escapes[k][used]
+            if tree.nbytes() <= most_bytes:
+                break
+        least *= 2
+    return tree
+
+
+def build(counted: dict[str, tuple[np.ndarray, np.ndarray]], most_bytes: int = 100_000_000) -> Model:
+    """Freeze the model from each language's grams of full length and their counts; of at most ``most_bytes``, shared alike."""
+    languages = sorted(counted)
+    return Model(languages, [pruned(grow(*counted[x]), *counted[x], most_bytes // len(languages)) for x in languages])
+
+
+def train(labelled: DataFrame, docs_per_language: int = 400, window_chars: int = 100_000, most_languages: int = 256, seed: int = 3) -> Model | None:
     """Count the grams of a bounded sample of ``text`` by ``lang`` and freeze them.
 
     ``labelled`` has doc_id, text and lang.  From each language about
-    ``docs_per_language`` whole texts of at most ``longest_chars`` characters
-    are taken by a hash of their ids, which bounds the model by documented
-    parameters; counting is distributed and combined before its shuffle.  None
-    where no row has a text and a language.
+    ``docs_per_language`` texts are taken by a hash of their ids, of texts of
+    more than ``window_chars`` characters that many at a place chosen by a hash,
+    and of languages the ``most_languages`` with the most rows, ties by name:
+    documented parameters that bound what is learned from.  Counting is
+    distributed and combined before its shuffle.  None where no row has a text
+    and a language.
     """
     labelled = labelled.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
     if not sizes:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, docs_per_language / n))])
-    sample = labelled.where((hash_share("doc_id", seed) < F.element_at(share, F.col("lang"))) & (F.length("text") <= longest_chars))
+    start = 1 + F.floor(hash_share("doc_id", seed + 1) * (F.length("text") - window_chars)).cast("int")
+    piece = F.when(F.length("text") > window_chars, F.substring("text", start, F.lit(window_chars))).otherwise(F.col("text"))
+    sample = labelled.where(hash_share("doc_id", seed) < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0))).withColumn("text", piece)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
@@ -251,9 +234,10 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
 
     ``score`` is the chosen language's share in the likelihoods that the mean
     code length of a byte gives over at most ``EVIDENCE_BYTES`` bytes, so that
-    length alone makes no certainty.  Null texts, texts without a letter, and
-    all texts where nothing was learned are ``und`` with score 0; ties go to the
-    first language by name; repeated rows are scored each.
+    length alone makes no certainty.  Null and empty texts, texts without a
+    letter (``str.isalpha``), and all texts where nothing was learned are
+    ``und`` with score 0; ties go to the first language by name; texts of any
+    length are scored as a whole, repeated rows each; an empty table gives none.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double"
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -270,7 +254,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
                 sums = np.concatenate([[0], np.cumsum(plain)])
                 letters = sums[offsets[1:]] > sums[offsets[:-1]]
                 for i in np.flatnonzero(~letters & (np.diff(offsets) > 0)):
-                    letters[i] = bool(_LETTER.search(texts[start + int(i)].as_py()))
+                    letters[i] = any(map(str.isalpha, texts[start + int(i)].as_py()))
                 if own is None:
                     letters[:] = False
                     bits = np.zeros((end - start, 1))

@@ -63,14 +63,14 @@ def docs(spark, rows):
 
 def test_predictions_and_rejections(spark):
     rows = [(i, (EN if i % 2 else FR) * 3, "en" if i % 2 else "fr", "s", 1) for i in range(80)]
-    rows += [(100, None, "en", "s", 0), (101, "", None, "s", 0), (102, "123 --- 99", "en", "s", 0), (103, "the DOG and THE cat " * 20000, None, "s", 1), (7, "le chat", "fr", None, 1), (None, "the dog", "en", "s", 1)]
+    rows += [(100, None, "en", "s", 0), (101, "", None, "s", 0), (102, "123 --- 99", "en", "s", 0), (104, "½ ² Ⅷ ① ٣", "en", "s", 0), (103, "the DOG and THE cat " * 20000, None, "s", 1), (7, "le chat", "fr", None, 1), (None, "the dog", "en", "s", 1)]
     got = {(r.doc_id, r.lang_pred, r.held_out) for r in L.identify_documents(docs(spark, rows)).collect()}
     pred = {d: p for d, p, _ in got if d != 7}
     assert all(pred[i] == ("en" if i % 2 else "fr") for i in range(80) if i != 7)
-    assert pred[100] == pred[101] == pred[102] == "und" and pred[103] == "en" and pred[None] == "en"
+    assert pred[100] == pred[101] == pred[102] == pred[104] == "und" and pred[103] == "en" and pred[None] == "en"
     assert {h for _, _, h in got} == {True, False}
     kept = L.keep_identified(docs(spark, rows))
-    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == len(rows) - 3
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and kept.count() == len(rows) - 4
 
 
 def test_nothing_learned(spark):
@@ -82,3 +82,31 @@ def test_held_out_accuracy(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     r = L.identify_documents(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(x.lang == x.lang_pred for x in r) >= 0.97 * len(r)
+
+
+def test_many_languages_stay_small():
+    import random
+
+    texts = {}
+    for j in range(200):
+        r = random.Random(j)
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéüñß") for _ in range(r.randint(2, 9))) for _ in range(300)]
+        texts[f"l{j:03}"] = " ".join(r.choice(words) for _ in range(20_000))
+    grams = {k: counted(v) for k, v in texts.items()}
+    model = L.build(grams)
+    assert model.nbytes() < 100_000_000
+    some = {k: texts[k][:3000] for k in ("l000", "l077", "l199")}
+    wanted = brute({k: texts[k] for k in some}, some["l077"][:300])
+    batch = pa.RecordBatch.from_pydict({"text": [some["l077"][:300], some["l199"]]})
+    (_, _, data, offsets), = text_slices(batch, "text")
+    bits = model.bits(*L.padded(data, offsets), np.diff(offsets))
+    assert bits.argmin(axis=1).tolist() == [77, 199]
+    np.testing.assert_allclose(bits[0][[0, 77, 199]], [wanted[k] for k in some], rtol=1e-4)
+    small = L.build(grams, most_bytes=10_000_000)
+    assert small.nbytes() <= 10_500_000 and small.bits(*L.padded(data, offsets), np.diff(offsets)).argmin(axis=1).tolist() == [77, 199]
+
+
+def test_languages_of_long_texts_alone_are_learned(spark):
+    rows = [(i, EN * 4000, "en", "s", 1) for i in range(4)] + [(i + 10, FR * 3, "fr", "s", 1) for i in range(20)]
+    got = {r.doc_id: r.lang_pred for r in L.identify_documents(docs(spark, rows)).collect()}
+    assert all(p == ("en" if d < 10 else "fr") for d, p in got.items())
