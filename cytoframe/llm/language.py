@@ -166,9 +166,15 @@ def pruned(tree: Tree, grams_: np.ndarray, counts: np.ndarray, most_bytes: int)
 
 
 def build(counted: dict[str, tuple[np.ndarray, np.ndarray]], most_bytes: int = 100_000_000) -> Model:
-    """Freeze the model from each language's grams of full length and their counts; of at most ``most_bytes``, shared alike."""
+    """Freeze the model from each language's grams of full length and their counts.
+
+    Where all trees take more than ``most_bytes``, each is pruned to an equal share.
+    """
     languages = sorted(counted)
-    return Model(languages, [pruned(grow(*counted[x]), *counted[x], most_bytes // len(languages)) for x in languages])
+    trees = [grow(*counted[x]) for x in languages]
+    if sum(t.nbytes() for t in trees) > most_bytes:
+        trees = [pruned(t, *counted[x], most_bytes // len(languages)) for x, t in zip(languages, trees, strict=True)]
+    return Model(languages, trees)
 
 
 def train(labelled: DataFrame, docs_per_language: int = 400, window_chars: int = 100_000, most_languages: int = 256, seed: int = 3) -> Model | None:
