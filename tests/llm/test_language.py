@@ -90,11 +90,11 @@ def test_many_languages_stay_small():
     texts = {}
     for j in range(200):
         r = random.Random(j)
-        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéüñß") for _ in range(r.randint(2, 9))) for _ in range(300)]
-        texts[f"l{j:03}"] = " ".join(r.choice(words) for _ in range(20_000))
+        words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéüñß") for _ in range(r.randint(2, 9))) for _ in range(200)]
+        texts[f"l{j:03}"] = " ".join(r.choice(words) for _ in range(8_000))
     grams = {k: counted(v) for k, v in texts.items()}
     model = L.build(grams)
-    assert model.nbytes() < 100_000_000
+    assert 20_000_000 < model.nbytes() < 90_000_000  # not pruned
     some = {k: texts[k][:3000] for k in ("l000", "l077", "l199")}
     wanted = brute({k: texts[k] for k in some}, some["l077"][:300])
     batch = pa.RecordBatch.from_pydict({"text": [some["l077"][:300], some["l199"]]})
