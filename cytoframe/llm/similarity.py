@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoframe.llm.arrow_text import mix, shingle_hashes, text_slices, word_hashes, word_spans
-from cytoframe.llm.tables import checkpointed
+from cytoframe.llm.tables import checkpointed, spread_join
 
 #: Coordinates whose last 8 bits are compared in leaves, and those that each run chooses from.
 COORDINATES = 64
@@ -289,7 +289,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = edges.withColumn("m", F.min("b").over(ends))
         small = checkpointed(small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
         least = small.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumnRenamed("a", "u")
-        large = checkpointed(small.join(least, small.b == least.u, "left").select("a", "b", F.coalesce("m", "b").alias("to")))
+        large = checkpointed(spread_join(small, least.select(F.col("u").alias("b"), "m"), "b").select("a", "b", F.coalesce("m", "b").alias("to")))
         # Nothing went on, and no vertex has two ends: then each edge leads to a root.
         if not large.where("b <> to").take(1) and not least.where("n > 1").take(1):
             break
@@ -305,9 +305,9 @@ def row_key() -> Column:
 
 
 def classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.9999, leaf: int = 512, block: int = 1024, block_shingles: int = 2_000_000, depths: int = 3) -> tuple[DataFrame, DataFrame, bool]:
-    """All rows (key, doc_id, set_id, n), a row for each set with words, and whether rows repeat.
+    """All rows (key, doc_id, set_id, n, number), a row for each set with words, and whether rows repeat.
 
-    Sets have set_id, label, copy_id, class_id, n_links; ``label`` names the class.
+    Sets have set_id, label, copy_id, class_id, n_links, copies; ``label`` names the class.
     One row stands for each set, whatever the ids of its rows.
     """
     documents = docs.select(row_key().alias("key"), "doc_id", "text")
@@ -357,8 +357,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: flo
     # the coordinates of a node's run
     own_part = F.substring("signature", (F.col("node").bitwiseAND(int(_RUN)) * (4 * RUN_COORDINATES) + 1).cast("int"), F.lit(4 * RUN_COORDINATES))
     for depth in range(1, depths + 1):
-        sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = at.join(sizes, "node")
+        sizes = checkpointed(at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))
+        sized = spread_join(at, sizes, "node", sizes.withColumnRenamed("size", "n")).where("matched").drop("matched")
         ready = sized if depth == depths else sized.where(F.col("size") <= leaf)
         blocks = F.ceil(F.col("size") / block).cast("int")
         own = F.pmod(F.xxhash64("set_id", "node"), blocks).cast("int")
@@ -375,8 +375,9 @@ def classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: flo
 
     grouped = checkpointed(components(edges))
     candidates = grouped.join(sets.withColumnRenamed("set_id", "id"), "id")
-    totals = candidates.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_shingles)).cast("int").alias("blocks"))
-    members = candidates.join(totals, "label").select("key", F.col("id").alias("set_id"), F.col("label").alias("comp"), "blocks", "copies")
+    candidates = checkpointed(candidates.select("key", "id", "label", "copies", "n"))
+    totals = checkpointed(candidates.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_shingles)).cast("int").alias("blocks"), F.count("*").alias("n")))
+    members = spread_join(candidates, totals.select("label", "blocks"), "label", totals).select("key", F.col("id").alias("set_id"), F.col("label").alias("comp"), "blocks", "copies")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -411,12 +412,18 @@ def classes(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: flo
     none = F.lit(None).cast("long")
     parts = sets.select("set_id", "copy_id", "copies", none.alias("links"), none.alias("label"))
     parts = parts.union(checked.select("set_id", none, none, "links", none)).union(labels.select("set_id", none, none, none, "label"))
-    facts = parts.groupBy("set_id").agg(F.max("copy_id").alias("copy_id"), (F.max("copies") - 1 + F.coalesce(F.sum("links"), F.lit(0))).alias("n_links"), F.min("label").alias("label"))
+    facts = parts.groupBy("set_id").agg(F.max("copy_id").alias("copy_id"), (F.max("copies") - 1 + F.coalesce(F.sum("links"), F.lit(0))).alias("n_links"), F.min("label").alias("label"), F.max("copies").alias("copies"))
     facts = checkpointed(facts)
     named = facts.where("label is not null")
-    named = named.join(named.groupBy("label").agg(F.min("copy_id").alias("class_id")), "label").select("set_id", "label", "copy_id", "class_id", "n_links")
-    facts = named.union(facts.where("label is null").select("set_id", F.col("set_id").alias("label"), "copy_id", F.col("copy_id").alias("class_id"), "n_links"))
-    return rows.select("key", "doc_id", "set_id", "n"), facts, repeated
+    firsts = checkpointed(named.groupBy("label").agg(F.min("copy_id").alias("class_id"), F.count("*").alias("n")))
+    named = spread_join(named, firsts.select("label", "class_id"), "label", firsts).select("set_id", "label", "copy_id", "class_id", "n_links", "copies")
+    facts = named.union(facts.where("label is null").select("set_id", F.col("set_id").alias("label"), "copy_id", F.col("copy_id").alias("class_id"), "n_links", "copies"))
+    return rows.select("key", "doc_id", "set_id", "n", "number"), checkpointed(facts), repeated
+
+
+def of_sets(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """The rows that have words with the facts of their sets, also where one set has most of the rows."""
+    return spread_join(rows.where("n > 0").select("key", "doc_id", "set_id", "number"), facts.drop("copies"), "set_id", facts.select("set_id", F.col("copies").alias("n")))
 
 
 def join(docs: DataFrame, threshold: float = 0.8, **how) -> DataFrame:
@@ -428,11 +435,12 @@ def join(docs: DataFrame, threshold: float = 0.8, **how) -> DataFrame:
     Texts of fewer than ``width`` words, but not none, are one shingle.  Null
     texts and texts without words have no links and are classes of their own;
     rows with a null id are compared as any other, and a class of such rows
-    alone has a null ``class_id``.  Extra columns are not read; ``how`` are
-    parameters of ``classes``.
+    alone has a null ``class_id``.  Ties go to the least id; texts of any length
+    are read as a whole, an empty table gives no rows, extra columns are not
+    read.  ``how`` are parameters of ``classes``.
     """
     rows, facts, _ = classes(docs, threshold, **how)
-    with_words = rows.where("n > 0").select("doc_id", "set_id").join(facts, "set_id").select("doc_id", "class_id", "copy_id", "n_links")
+    with_words = of_sets(rows, facts).select("doc_id", "class_id", "copy_id", "n_links")
     without = rows.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"))
     return with_words.union(without)
 
@@ -445,7 +453,7 @@ def keep_one(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     rows, facts, repeated = classes(documents, threshold)
     key = next(f"_key{i}" for i in range(len(documents.columns) + 1) if f"_key{i}" not in [c.lower() for c in documents.columns])
-    placed = rows.where("n > 0").select(F.col("key").alias(key), "doc_id", "set_id").join(facts.select("set_id", "label", "class_id"), "set_id")
+    placed = of_sets(rows, facts).withColumnRenamed("key", key)
     placed = checkpointed(placed.select(key, "label", F.expr("doc_id <=> class_id").alias("least")))
     first = checkpointed(placed.where("least").groupBy("label").agg(F.min(key).alias(key)).select(key))
     others = placed.select(key).join(first, key, "left_anti").distinct()

@@ -48,26 +48,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, most_hot: int = 100_000, least: int = 512) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str, counts: DataFrame | None = None, most_hot: int = 100_000, least: int = 512, most_rows: int = 16) -> DataFrame:
     """All rows of ``left``, with the other columns of ``right`` where its ``key`` is found, and ``matched``.
 
-    Keys that hold more than ``1 / most_hot`` of the left rows, and ``least`` of
-    them, are hot.  There are at most ``most_hot``, so that the right rows of the
-    hot keys that have few of them are broadcast; the left rows of hot keys are
-    not brought together but dealt over all tasks.  ``left`` is read twice: cut
-    its lineage before.
+    Keys of more than ``least`` left rows are hot; where there are more than
+    ``most_hot`` such keys, those of twice as many rows, and so on.  The right
+    rows of the hot keys that have up to ``most_rows`` of them are broadcast,
+    which bounds what is broadcast whatever the size of the tables, and the left
+    rows of these keys are dealt over all tasks by a hash of the whole row.
+    ``counts`` (key, n) are the sizes of the left groups where they are known.
     """
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    hot_keys = checkpointed(counts.where(F.col("_n") > max(least, total // most_hot)).select(key))
-    rest = right.join(F.broadcast(hot_keys), key, "left_anti")
-    # Up to 16 rows of the right for a hot key, so that what is broadcast has a bound; others meet in the join below.
-    hot = right.join(F.broadcast(hot_keys), key, "left_semi")
-    few = checkpointed(hot.groupBy(key).agg(F.count("*").alias("_n")).where("_n <= 16").select(key))
     others = [c for c in right.columns if c != key]
-    lists = hot.join(F.broadcast(few), key, "left_semi").groupBy(key).agg(F.collect_list(F.struct(*others, F.lit(1).alias("_one"))).alias("_hot"))
-    rest = rest.union(hot.join(F.broadcast(few), key, "left_anti").select(rest.columns))
-    marked = left.join(F.broadcast(lists), key, "left")
-    found = marked.where("_hot is not null").select(*left.columns, F.explode("_hot").alias("_h")).select(*left.columns, *[F.col(f"_h.{c}").alias(c) for c in others], F.lit(True).alias("matched"))
-    cold = marked.where("_hot is null").select(*left.columns).join(rest.withColumn("_found", F.lit(True)), key, "left")
-    return found.union(cold.select(*left.columns, *others, F.coalesce("_found", F.lit(False)).alias("matched")))
+    if counts is None:
+        counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > least)
+    while (n_hot := counts.where(F.col("n") > least).count()) > most_hot:
+        least *= 2
+    if not n_hot:
+        return left.join(right.withColumn("_found", F.lit(True)), key, "left").select(*left.columns, *others, F.coalesce("_found", F.lit(False)).alias("matched"))
+    hot_keys = F.broadcast(checkpointed(counts.where(F.col("n") > least).select(key)))
+    of_hot = right.join(hot_keys, key, "left_semi")
+    few = of_hot.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select(key)
+    rows = F.struct(*[F.col(c) for c in others], F.lit(True).alias("_found"))
+    lists = checkpointed(of_hot.join(few, key, "left_semi").groupBy(key).agg(F.collect_list(rows).alias("_hot")))
+    marked = left.join(F.broadcast(lists), key, "left").withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(1 << 30))))
+    joined = marked.join(right.join(F.broadcast(lists.select(key)), key, "left_anti").select(F.col(key), rows.alias("_cold"), F.lit(0).cast("long").alias("_salt")), [key, "_salt"], "left")
+    flat = joined.select(*left.columns, F.explode(F.coalesce("_hot", F.array("_cold"))).alias("_h"))
+    return flat.select(*left.columns, *[F.col(f"_h.{c}").alias(c) for c in others], F.coalesce("_h._found", F.lit(False)).alias("matched"))
