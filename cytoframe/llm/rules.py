@@ -97,19 +97,33 @@ def with_signals(counts: DataFrame) -> DataFrame:
     )
 
 
+def _log_factorial(x: Column) -> Column:
+    """Stirling's series at ``x`` + 10, and the ten factors between."""
+    y = x.cast("double") + 10
+    series = y * F.log(y) - y + 0.5 * F.log(2 * math.pi * y) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    between = F.lit(0.0)
+    for j in range(1, 11):
+        between = between + F.log(x + j)
+    return series - between
+
+
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X of n draws at p, exactly; above 100,000 terms its Chernoff bound, which is no less."""
-    odds = math.log(p) - math.log1p(-p)
-    first = F.struct((n * math.log1p(-p)).alias("log"), F.exp(n * math.log1p(-p)).alias("sum"))
+    """P(X <= k) for X of n draws at p, where k is under n p; 1 from there on.
+
+    The terms fall from k on downwards.  Those of nine standard deviations and
+    50 more are summed: what is left is under the precision of a double.
+    """
+    log_last = _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p)
+    terms = F.least(k.cast("long"), F.ceil(9 * F.sqrt(n * p * (1 - p))).cast("long") + 50)
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
 
-    def step(a: Column, i: Column) -> Column:
-        log = a["log"] + F.log((n - i + 1) / i) + odds
-        return F.struct(log.alias("log"), (a["sum"] + F.exp(log)).alias("sum"))
+    def step(a: Column, j: Column) -> Column:
+        i = (k - j + 1).cast("double")
+        term = a["term"] * i * (1 - p) / ((n - i + 1) * p)
+        return F.struct(term.alias("term"), (a["sum"] + term).alias("sum"))
 
-    exact = F.aggregate(F.when(k >= 1, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>")), first, step, lambda a: a["sum"])
-    q = k / n
-    divergence = q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))
-    return F.when(n == 0, 1.0).when(k >= n * p, 1.0).when(k > 100_000, F.exp(-n * divergence)).otherwise(exact)
+    total = F.aggregate(F.when(terms >= 1, F.sequence(F.lit(1).cast("long"), terms)).otherwise(F.array().cast("array<bigint>")), start, step, lambda a: a["sum"])
+    return F.when(n == 0, 1.0).when(k >= n * p, 1.0).otherwise(F.exp(log_last) * total)
 
 
 def certify(signals: DataFrame, labels: DataFrame, risk: float = 0.08, delta: float = 0.1, most_strata: int = 64, least_rows: int = 100, power: float = 0.995) -> DataFrame:
@@ -126,7 +140,9 @@ def certify(signals: DataFrame, labels: DataFrame, risk: float = 0.08, delta: fl
     tightest does: what is certified is no reason to reject what need not be rejected.
     """
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    seen = signals.where(~F.col("base_failed")).join(known, "doc_id")
+    # A labelled id counts once, however often its row repeats.
+    used = ["lang", *CUTOFFS]
+    seen = signals.where(~F.col("base_failed")).join(known, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*used)).alias("row")).select("quality", "row.*")
     good, bad = F.col("quality") == 1, F.col("quality") == 0
     sums = [F.count_if(g & (F.col(s) > c)).alias(f"{s}_{i}{b}") for s, cutoffs in CUTOFFS.items() for i, c in enumerate(cutoffs) for g, b in ((good, ""), (bad, "_bad"))]
     by_language = checkpointed(seen.groupBy("lang").agg(F.count_if(good).alias("n"), *sums))
@@ -148,10 +164,12 @@ def certify(signals: DataFrame, labels: DataFrame, risk: float = 0.08, delta: fl
 def judge(documents: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Base counts and verdict of every row: kept unless the base rules or a certified cutoff reject it.
 
-    Null and empty texts have no words and fail the base rules.  A row without a
-    language is in the pooled stratum.  Without labels nothing is certified and
-    the base rules decide alone.  Repeated rows are judged each, labels that
-    repeat count once, and extra columns are not read.
+    Null and empty texts have no words and fail the base rules; texts of any
+    length are counted as a whole; a value equal to a cutoff is not above it.  A
+    row without a language is in the pooled stratum.  Without labels nothing is
+    certified and the base rules decide alone.  Repeated rows are judged each,
+    labels and labelled rows that repeat count once, an empty table gives no
+    rows, and extra columns are not read.
     """
     signals = checkpointed(with_signals(base(documents)))
     cutoffs = certify(signals, labels, **how)

@@ -114,7 +114,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = 20_000, lexicon_w
     """
     # At most `rows` ids and labels, so that broadcasting them is bounded.
     sample = checkpointed(sampled(labels, "toxic", rows).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(61)), F.lit(folds)).cast("int")))
-    text = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # One row for each id, however often it repeats, so that at most `rows` texts are learned from.
+    text = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label", "fold").agg(F.min("text").alias("text"))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, 500):
@@ -179,9 +180,12 @@ def held_out():
 def score_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row, by its whole text alone.
 
-    Null and empty texts get the score of a text without words; without labels,
-    or with labels of one kind only, all scores are their mean, or 0.5.  Rows
-    that repeat are scored each; extra columns are not read.
+    Null and empty texts get the score of a text without words; texts of any
+    length are read as a whole; without labels, or with labels of one kind only,
+    all scores are their mean, or 0.5.  Of the texts of a labelled id the least
+    is learned from, of its labels the greatest.  Rows that repeat are scored
+    each, equal texts alike; an empty table gives no rows; extra columns are not
+    read.
     """
     model = train(documents, labels.where(~held_out()))
     return score(documents, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

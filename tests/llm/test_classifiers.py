@@ -69,9 +69,35 @@ def test_views_teach_each_other():
     z = r.integers(0, 2, 3000)
     t, m = z[:, None] * 3 + r.normal(size=(3000, 2)), z[:, None] * 3 + r.normal(size=(3000, 2))
     y = np.where(np.arange(3000) < 120, z, -1).astype(float)
-    model = Q.co_train(t, m, y, np.arange(3000) % 4)
-    score, a, b = model.score(t, m)
+    g = np.zeros((3000, Q.N_GRAMS // 8), np.uint8)
+    model = Q.co_train(t, g, m, y, np.arange(3000) % 4)
+    score, a, b = model.score(t, g, m)
+    alone = Q.co_train(t, g, m, y, np.arange(3000) % 4, rounds=0)
     assert auc(z, score) > max(auc(z, a), auc(z, b)) - 0.002 and auc(z, score) > 0.97
+    assert sum(model.exchanged) > 300 and alone.exchanged == () and auc(z, score) >= auc(z, alone.score(t, g, m)[0]) - 0.002
+
+
+def test_words_are_part_of_the_text_view():
+    import pyarrow as pa
+
+    texts = ["good fine text here " * (k % 5 + 1) for k in range(60)] + ["evil spam text here " * (k % 5 + 1) for k in range(60)]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, None, "", "GOOD text"]})
+    g = Q.gram_view(batch, "text")
+    assert g.shape == (123, 512) and not g[120].any() and not g[121].any()
+    bits = np.unpackbits(g, axis=1).sum(axis=1)
+    assert bits[0] == 7 and bits[1] == 8 and bits[122] == 3  # 4 words, 3 pairs, and the pair across a repetition
+    y = np.repeat([1.0, 0.0], 60)
+    w = Q.gram_weights(g[:120], y, np.ones(120))
+    assert (Q.gram_score(g[:60], w) > 0.2).all() and (Q.gram_score(g[60:120], w) < -0.2).all() and Q.gram_score(g[122:], w)[0] > 0
+
+
+def test_labelled_rows_that_repeat_count_once(spark):
+    d = spark.createDataFrame([(i % 40, f"text {i % 40} " * 3, "en", "s", 5) for i in range(400)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    a, b = Q.score_documents(d, labels).distinct(), Q.score_documents(d.dropDuplicates(["doc_id"]), labels)
+    assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
+    a, b = T.score_documents(d, labels).distinct(), T.score_documents(d.dropDuplicates(["doc_id"]), labels)
+    assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
 
 
 @pytest.mark.parametrize("kinds", ["both", "one", "none"])
