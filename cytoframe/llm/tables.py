@@ -70,7 +70,9 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, counts: DataFrame |
     few = of_hot.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") <= most_rows).select(key)
     rows = F.struct(*[F.col(c) for c in others], F.lit(True).alias("_found"))
     lists = checkpointed(of_hot.join(few, key, "left_semi").groupBy(key).agg(F.collect_list(rows).alias("_hot")))
+    # The salt of the cold rows is always 0, in a form that the optimiser does not fold: a constant would be no join key.
+    cold_salt = F.pmod(F.xxhash64(key), F.lit(1)).alias("_salt")
     marked = left.join(F.broadcast(lists), key, "left").withColumn("_salt", F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(1 << 30))))
-    joined = marked.join(right.join(F.broadcast(lists.select(key)), key, "left_anti").select(F.col(key), rows.alias("_cold"), F.lit(0).cast("long").alias("_salt")), [key, "_salt"], "left")
+    joined = marked.join(right.join(F.broadcast(lists.select(key)), key, "left_anti").select(F.col(key), rows.alias("_cold"), cold_salt), [key, "_salt"], "left")
     flat = joined.select(*left.columns, F.explode(F.coalesce("_hot", F.array("_cold"))).alias("_h"))
     return flat.select(*left.columns, *[F.col(f"_h.{c}").alias(c) for c in others], F.coalesce("_h._found", F.lit(False)).alias("matched"))
