@@ -819,4 +819,7 @@ def cell_features(spark, sf_dir):
     p = planes(spark, sf_dir)
     big = p.repartition("image_id").select("image_id", "height", "width", F.transform("pixels", lambda v: (v > 0).cast("int")).alias("labels"), F.create_map(F.lit("Phase"), F.col("pixels"), F.lit("AF405"), F.transform("pixels", F.abs)).alias("planes"))
     f = S.extract_features(big)
-    return S.feature_table(f, ["Phase", "AF405"]).select("image_id", "label", "area_px", "perimeter_px", "solidity", "intensity_AF405_mean", "fluor_AF405_state")
+    return S.feature_table(f, ["Phase", "AF405"]).select("image_id", "label", "area_px", "perimeter_px", "solidity", "intensity_AF405_mean", "AF405_mean_bgsub", "width_q3_px", "AF405_state_code")
+
+
+from cytoframe import catalog_tables  # noqa: E402, F401  its queries register themselves
