@@ -47,7 +47,7 @@ def _poles(c: Context) -> tuple[dict[str, float], list[dict]]:
     a, b, m = p[:end].mean(), p[-end:].mean(), p[low:high].mean()
     asym, rich = abs(a - b) / (a + b + eps), m / (0.5 * (a + b) + eps)
     state = 3 if rich >= 1.5 else 1 if asym >= 0.3 else 2
-    return {"poleA": a, "poleB": b, "center": m, "polar_asym": asym, "center_enrichment": rich, "peak_count": float(imaging.count_peaks(p)), "state": float(state)}, []
+    return {"poleA": a, "poleB": b, "center": m, "polar_asym": asym, "center_enrichment": rich, "peak_count": float(imaging.count_peaks(p)), "state_code": float(state)}, []
 
 
 def _spots(c: Context) -> tuple[dict[str, float], list[dict]]:
@@ -56,13 +56,13 @@ def _spots(c: Context) -> tuple[dict[str, float], list[dict]]:
         s["punctum_id"] = i
         s["axial_s"], s["radial_r"] = imaging.axial_radial(s["y_px"], s["x_px"], c.midline) if c.midline is not None and len(c.midline) > 1 else (float("nan"), float("nan"))
     if not found:
-        return {"punctum_count": 0.0}, []
+        return {"puncta_count": 0.0}, []
     peaks, logs = [s["peak_intensity"] for s in found], [abs(s["log"]) for s in found]
-    return {"punctum_count": float(len(found)), "punctum_total": sum(peaks), "punctum_max": max(peaks), "log_mean": float(np.mean(logs)), "log_max": max(logs), "punctum_fraction": sum(peaks) / (float(c.image[c.mask].sum()) + 1e-10)}, found
+    return {"puncta_count": float(len(found)), "puncta_total_intensity": sum(peaks), "puncta_max_intensity": max(peaks), "puncta_mean_sigma_px": float(np.mean(logs)), "puncta_max_sigma_px": max(logs), "puncta_fraction": sum(peaks) / (float(c.image[c.mask].sum()) + 1e-10)}, found
 
 
-POLES = Plugin("poles", ("af405", "hada"), ("poleA", "poleB", "center", "polar_asym", "center_enrichment", "peak_count", "state"), _poles)
-SPOTS = Plugin("spots", ("bod493", "bodipy"), ("punctum_count", "punctum_total", "punctum_max", "log_mean", "log_max", "punctum_fraction"), _spots)
+POLES = Plugin("poles", ("af405", "hada"), ("poleA", "poleB", "center", "polar_asym", "center_enrichment", "peak_count", "state_code"), _poles)
+SPOTS = Plugin("spots", ("bod493", "bodipy"), ("puncta_count", "puncta_total_intensity", "puncta_max_intensity", "puncta_mean_sigma_px", "puncta_max_sigma_px", "puncta_fraction"), _spots)
 REGISTRY: list[Plugin] = [POLES, SPOTS]
 
 

@@ -121,7 +121,7 @@ def morphology(mask: np.ndarray, offset: tuple[int, int] = (0, 0), pixel_microns
         chord = float(np.hypot(*(line[-1] - line[0])))
         out |= {"sinuosity": max(1.0, round(length / chord, 3)) if chord else float("nan"), "curvature_mean": k.mean(), "curvature_max": k.max(), "curvature_min": k.min(), "curvature_std": k.std()}
         if len(w):
-            stats = {"mean": w.mean(), "median": np.median(w), "std": w.std(), "min": w.min(), "max": w.max(), "q1": np.percentile(w, 25)}
+            stats = {"median": np.median(w), "std": w.std(), "max": w.max(), "min": w.min(), "q1": np.percentile(w, 25), "q3": np.percentile(w, 75)}
             out |= {f"width_{s}_px": v for s, v in stats.items()} | {f"width_{s}_um": v * px for s, v in stats.items()}
     return {k: float(v) for k, v in (out | {"length_px": length, "length_um": length * px}).items()}
 
@@ -163,7 +163,8 @@ def fluorescence(image: np.ndarray, mask: np.ndarray, line: np.ndarray | None, c
     p = None if p is None or not np.isfinite(p).all() else p
     d = np.abs(np.diff(p)) if p is not None else None
     values = {
-        "bg_mean": mean(ring), "bg_median": float(np.median(back)) if len(back) else float("nan"), "bg_std": float(back.std()) if len(back) else float("nan"), "shell_mean": mean(shell), "core_mean": mean(core), "shell_core_ratio": mean(shell) / (mean(core) + 1e-10), "total": float(image[mask].sum()),
+        "bg_mean": mean(ring), "bg_median": float(np.median(back)) if len(back) else float("nan"), "bg_std": float(back.std()) if len(back) else float("nan"), "mean_bgsub": mean(mask) - (mean(ring) if np.isfinite(mean(ring)) else 0.0),
+        "shell_mean": mean(shell), "core_mean": mean(core), "shell_core_ratio": mean(shell) / (mean(core) + 1e-10),
         **(dict.fromkeys(schemas.FLUORESCENCE[7:], float("nan")) if p is None else dict(zip(schemas.FLUORESCENCE[7:], map(float, (p.mean(), p.max(), d.mean(), d.max(), p.argmax() / (len(p) - 1), p.max())), strict=True))),
     }
     events: list[dict] = []
@@ -172,7 +173,20 @@ def fluorescence(image: np.ndarray, mask: np.ndarray, line: np.ndarray | None, c
         found, more = plugin.extract(context)
         values |= plugin.empty() | found
         events += more
-    return {f"fluor_{channel}_{k}": v for k, v in values.items()}, p, events
+    return {f"{channel}_{k}": v for k, v in values.items()}, p, events
+
+
+def boxes(labels: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
+    """The half-open box of every label, in one pass over the image."""
+    y, x = np.nonzero(labels > 0)
+    own = labels[y, x]
+    order = np.argsort(own, kind="stable")
+    own, y, x = own[order], y[order], x[order]
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, int)
+    if not len(first):
+        return {}
+    sides = [f.reduceat(v, first) for f, v in ((np.minimum, y), (np.minimum, x), (np.maximum, y), (np.maximum, x))]
+    return {int(k): (int(a), int(b), int(c) + 1, int(d) + 1) for k, a, b, c, d in zip(own[first], *sides, strict=True)}
 
 
 FEATURES_SCHEMA = "image_id string, label int, features map<string,double>, profiles map<string,array<double>>, puncta array<struct<channel:string,punctum_id:int,y_px:double,x_px:double,sigma_px:double,peak_intensity:double,axial_s:double,radial_r:double>>, error string"
@@ -194,10 +208,9 @@ def extract_features(images: DataFrame, pixel_microns: float = 1.0, phase: str =
                 h, w = int(r.height), int(r.width)
                 labels = np.asarray(r.labels, np.int32).reshape(h, w)
                 planes = {k: np.asarray(v, float).reshape(h, w) for k, v in dict(r.planes).items()}
-                for k in np.unique(labels[labels > 0]):
+                for k, (top, left, bottom, right) in boxes(labels).items():
                     try:
-                        y, x = np.nonzero(labels == k)
-                        y0, y1, x0, x1 = max(0, y.min() - pad), min(h, y.max() + pad + 1), max(0, x.min() - pad), min(w, x.max() + pad + 1)
+                        y0, y1, x0, x1 = max(0, top - pad), min(h, bottom + pad), max(0, left - pad), min(w, right + pad)
                         mask = I.largest_component(labels[y0:y1, x0:x1] == k)
                         first = planes[phase][y0:y1, x0:x1] if phase in planes else None
                         features = morphology(mask, (y0, x0), pixel_microns, first)
@@ -257,7 +270,8 @@ def crops(images: DataFrame, cells: DataFrame, size: int = 154, pad: int = 6, mo
                     cy, cx = (round(m if m is not None and np.isfinite(m) else (a + b) / 2) for m, a, b in ((c["centroid_row"], c["bbox_min_row"], c["bbox_max_row"]), (c["centroid_col"], c["bbox_min_col"], c["bbox_max_col"])))
                     y0, x0 = cy - side // 2, cx - side // 2
                     cut = [np.rint(I.extract_window(p, y0, y0 + side, x0, x0 + side, mode)).astype(np.int64) for p in planes.values()]
-                    own = I.extract_window((labels == c["label"]) * c["label"], y0, y0 + side, x0, x0 + side, "constant")
+                    own = I.extract_window(labels, y0, y0 + side, x0, x0 + side, "constant")
+                    own = np.where(own == c["label"], own, 0)
                     stack = I.as_uint16([*cut, own.astype(np.int64)])
                     rows.append((c["Cell_ID"], r.image_id, int(c["label"]), ";".join([*planes, "Mask"]), int(side), [p.ravel().astype(int).tolist() for p in stack]))
                 yield pd.DataFrame(rows, columns=["Cell_ID", "image_id", "label", "channels", "side", "stack"])

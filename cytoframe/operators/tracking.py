@@ -142,28 +142,32 @@ def assign(pairs: DataFrame, iou: float = 0.6, share: float = 0.8, similarity: f
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["iou", "similarity", "a", "b"], ascending=[False, False, True, True])
-        left, right, out = set(), set(), []
-        for r in g.itertuples():
-            if r.iou >= iou and r.a not in left and r.b not in right:
-                left.add(r.a)
-                right.add(r.b)
-                out.append((r.t, r.a, r.b, "one"))
-        for r in g.itertuples():
-            if r.share_b >= share and r.b not in right and r.iou >= least_iou:
-                right.add(r.b)
-                left.add(r.a)
-                out.append((r.t, r.a, r.b, "split"))
-        for r in g.itertuples():
-            if r.share_a >= share and r.a not in left and r.iou >= least_iou:
-                left.add(r.a)
-                out.append((r.t, r.a, r.b, "merge"))
-        for r in g.sort_values(["similarity", "log_distance", "a", "b"], ascending=[False, False, True, True]).itertuples():
-            if r.similarity >= similarity and r.log_distance >= log_distance and r.a not in left and r.b not in right:
-                left.add(r.a)
-                right.add(r.b)
-                out.append((r.t, r.a, r.b, "rest"))
-        return pd.DataFrame(out, columns=["t", "a", "b", "rule"])
+        a, left_names = pd.factorize(g.a, sort=True)
+        b, right_names = pd.factorize(g.b, sort=True)
+        by_iou = np.lexsort((b, a, -g.similarity.to_numpy(), -g.iou.to_numpy()))
+        by_shape = np.lexsort((b, a, -g.log_distance.to_numpy(), -g.similarity.to_numpy()))
+        left, right = np.zeros(len(left_names), bool), np.zeros(len(right_names), bool)
+        taken, rules = [], []
+        # what a rule lets through at all, in its order; whether its left and its right cell have to be free
+        steps = [
+            ("one", by_iou, g.iou >= iou, True, True),
+            ("split", by_iou, (g.share_b >= share) & (g.iou >= least_iou), False, True),
+            ("merge", by_iou, (g.share_a >= share) & (g.iou >= least_iou), True, False),
+            ("rest", by_shape, (g.similarity >= similarity) & (g.log_distance >= log_distance), True, True),
+        ]
+        for rule, order, passes, free_left, free_right in steps:
+            found = order[passes.to_numpy()[order]]
+            found = found[~(free_left & left[a[found]]) & ~(free_right & right[b[found]])]
+            for i in found:
+                if (free_left and left[a[i]]) or (free_right and right[b[i]]):
+                    continue
+                left[a[i]] = True
+                if rule != "merge":
+                    right[b[i]] = True
+                taken.append(i)
+                rules.append(rule)
+        rows = g.iloc[taken]
+        return pd.DataFrame({"t": rows.t.to_numpy(), "a": rows.a.to_numpy(), "b": rows.b.to_numpy(), "rule": rules})
 
     return pairs.select("t", "a", "b", "iou", "share_a", "share_b", "similarity", "log_distance").groupBy("t").applyInPandas(run, "t int, a string, b string, rule string")
 

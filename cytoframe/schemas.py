@@ -71,12 +71,13 @@ DIAGNOSTICS = ("Cell_ID", "image_id", "label", "included", "filter_passed", "fil
 
 INTENSITY = ("mean", "median", "std", "var", "min", "max", "range", "q1", "q3", "iqr", "p5", "p95", "cv", "skewness", "kurtosis", "entropy")
 PROFILE = ("mean", "std", "min", "max", "range", "gradient_mean", "gradient_max", "polar_ratio", "polar_diff", "peak_position", "peak_value")
-FLUORESCENCE = ("bg_mean", "bg_median", "bg_std", "shell_mean", "core_mean", "shell_core_ratio", "total", "midline_mean", "midline_max", "midline_gradient_mean", "midline_gradient_max", "midline_peak_position", "midline_peak_value")
+FLUORESCENCE = ("bg_mean", "bg_median", "bg_std", "mean_bgsub", "shell_mean", "core_mean", "shell_core_ratio", "midline_mean", "midline_max", "midline_gradient_mean", "midline_gradient_max", "midline_peak_position", "midline_peak_value")
+#: Names and order of the shape columns.
 MORPHOLOGY = (
     "area_px", "area_um2", "perimeter_px", "perimeter_um", "major_axis_px", "major_axis_um", "minor_axis_px", "minor_axis_um", "eccentricity", "solidity", "extent", "orientation", "convex_area_px", "filled_area_px",
     "equivalent_diameter_px", "equivalent_diameter_um", "compactness", "circularity", "rough_length_px", "rough_length_um", "aspect_ratio", *[f"hu_moment_{i}" for i in range(7)],
     "centroid_row", "centroid_col", *BBOX, "mean_intensity", "max_intensity", "min_intensity",
-    "length_um", "length_px", "sinuosity", *[f"width_{s}_{u}" for u in ("px", "um") for s in ("mean", "median", "std", "min", "max", "q1")], "curvature_mean", "curvature_max", "curvature_min", "curvature_std",
+    "length_px", "length_um", "sinuosity", *[f"width_{s}_{u}" for s in ("median", "std", "max", "min", "q1", "q3") for u in ("px", "um")], "curvature_mean", "curvature_std", "curvature_max", "curvature_min",
 )
 
 
@@ -89,7 +90,7 @@ def profile_names(channel: str) -> list[str]:
 
 
 def fluorescence_names(channel: str) -> list[str]:
-    return [f"fluor_{channel}_{s}" for s in FLUORESCENCE]
+    return [f"{channel}_{s}" for s in FLUORESCENCE]
 
 
 def feature_names(channels: list[str], phase: str = "Phase", plugins: list | None = None) -> list[str]:
@@ -97,6 +98,7 @@ def feature_names(channels: list[str], phase: str = "Phase", plugins: list | Non
     from cytoframe.operators.plugins import REGISTRY, matching
 
     out = list(MORPHOLOGY)
+    channels = channels if phase in channels else [phase, *channels]
     for channel in channels:
         out += intensity_names(channel)
     for channel in channels:
@@ -105,5 +107,5 @@ def feature_names(channels: list[str], phase: str = "Phase", plugins: list | Non
         if channel != phase:
             out += fluorescence_names(channel)
             for plugin in matching(channel, REGISTRY if plugins is None else plugins):
-                out += [f"fluor_{channel}_{s}" for s in plugin.suffixes]
+                out += [f"{channel}_{s}" for s in plugin.suffixes]
     return out

@@ -16,6 +16,10 @@ def session(name: str = "cytoframe", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Planes of images are long rows: what goes to Python at once is bounded by bytes.
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+        # Checkpoint files go once nothing refers to them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}

@@ -15,9 +15,14 @@ def one(spark, *columns, rows=((1,),), schema="i int"):
     return spark.createDataFrame(list(rows), schema).select(*columns).first()
 
 
-def test_schema_counts():
-    assert len(schemas.feature_names(["Phase", "AF405", "Bod493"])) == 176
-    assert len(set(schemas.feature_names(["Phase", "AF405", "Bod493"]))) == 176
+def test_schema_names():
+    names = schemas.feature_names(["Phase", "AF405", "Bod493"])
+    assert len(names) == len(set(names)) == 176 and schemas.feature_names(["AF405", "Bod493"]) == names
+    assert " ".join(names[:21]) == "area_px area_um2 perimeter_px perimeter_um major_axis_px major_axis_um minor_axis_px minor_axis_um eccentricity solidity extent orientation convex_area_px filled_area_px equivalent_diameter_px equivalent_diameter_um compactness circularity rough_length_px rough_length_um aspect_ratio"
+    assert " ".join(names[28:56]) == "centroid_row centroid_col bbox_min_row bbox_min_col bbox_max_row bbox_max_col mean_intensity max_intensity min_intensity length_px length_um sinuosity width_median_px width_median_um width_std_px width_std_um width_max_px width_max_um width_min_px width_min_um width_q1_px width_q1_um width_q3_px width_q3_um curvature_mean curvature_std curvature_max curvature_min"
+    assert names[56] == "intensity_Phase_mean" and names[104] == "profile_Phase_mean"
+    assert " ".join(names[137:157]) == "AF405_bg_mean AF405_bg_median AF405_bg_std AF405_mean_bgsub AF405_shell_mean AF405_core_mean AF405_shell_core_ratio AF405_midline_mean AF405_midline_max AF405_midline_gradient_mean AF405_midline_gradient_max AF405_midline_peak_position AF405_midline_peak_value AF405_poleA AF405_poleB AF405_center AF405_polar_asym AF405_center_enrichment AF405_peak_count AF405_state_code"
+    assert " ".join(names[170:]) == "Bod493_puncta_count Bod493_puncta_total_intensity Bod493_puncta_max_intensity Bod493_puncta_mean_sigma_px Bod493_puncta_max_sigma_px Bod493_puncta_fraction"
 
 
 def test_cell_hash_is_the_digest_of_name_label_and_box(spark):

@@ -283,7 +283,7 @@ def test_features_crops_and_classes(spark):
     f = S.extract_features(images, 0.1)
     t = {r.label: r for r in S.feature_table(f, ["Phase", "AF405", "Bod493"]).collect()}
     assert len(t[1]) == 178 and t[1].area_px == 13 * 41 and t[1].intensity_Phase_mean == 50 and t[1].area_um2 == pytest.approx(13 * 41 * 0.01)
-    assert t[1].fluor_AF405_state in (1.0, 2.0) and t[1].fluor_AF405_bg_mean == pytest.approx(10) and t[1].length_um == pytest.approx(4.1, abs=0.3)
+    assert t[1].AF405_state_code in (1.0, 2.0) and t[1].AF405_bg_mean == pytest.approx(10) and t[1].AF405_mean_bgsub == pytest.approx(5 * 20 / 41) and t[1].width_q3_px > 10 and t[1].length_um == pytest.approx(4.1, abs=0.3)
     with_id = f.withColumn("cell_id", F.concat_ws("_", "image_id", F.col("label").cast("string")))
     p = S.profile_rows(with_id)
     assert p.columns == schemas.PROFILES.names and {r.n_points for r in p.collect()} == {100}
