@@ -27,6 +27,14 @@ _CAPITAL = re.compile("[" + "".join(c for c in map(chr, range(0x10000)) if c.isu
 _ABOVE = re.compile("[\U00010000-\U0010ffff]")
 
 
+def unmasked(word: str, lexicon: dict[str, float]) -> float:
+    """The weight of the word that a masked one stands for, the greatest that fits its stars; 0 if none does."""
+    plain = word.lower().translate(_UNMASK)
+    if plain in lexicon or "*" not in plain or len(plain) > max(map(len, lexicon), default=0):
+        return lexicon.get(plain, 0.0)
+    return max((v for k, v in lexicon.items() if len(k) == len(plain) and all(p in ("*", c) for p, c in zip(plain, k, strict=True))), default=0.0)
+
+
 def featurise(text: str, lexicon: dict[str, float]) -> list[float]:
     """Dense features of one whole text; all zero but for the constants where it has no words."""
     words = _WORD.findall(text.lower())
@@ -40,16 +48,11 @@ def featurise(text: str, lexicon: dict[str, float]) -> list[float]:
         at = np.searchsorted(marks, places)
         m = np.array([-99, *marks, 10**9])
         near = int((np.minimum(places - m[at], m[at + 1] - places) <= 5).sum())
-    masked = 0.0
-    found = 0
+    seen: dict[str, int] = {}
     for m in _MASKED.finditer(text):
-        found += 1
-        plain = m[0].lower().translate(_UNMASK)
-        if plain in lexicon:
-            masked += lexicon[plain]
-        elif "*" in plain:
-            pattern = re.compile(re.escape(plain).replace(r"\*", r"\w"))
-            masked += max((v for k, v in lexicon.items() if len(k) == len(plain) and pattern.fullmatch(k)), default=0.0)
+        seen[m[0]] = seen.get(m[0], 0) + 1
+    found = sum(seen.values())
+    masked = sum(times * unmasked(word, lexicon) for word, times in seen.items())
     chars = max(len(text), 1)
     capitals = len(_CAPITAL.findall(text)) + sum(map(str.isupper, _ABOVE.findall(text)))
     return [

@@ -153,3 +153,38 @@ def test_sets_of_rows_without_id_are_compared(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.n_links for r in S.join(docs).collect()) == [0, 1, 1]
     assert S.keep_one(docs).count() == 2
+
+
+def test_links_and_classes_of_whole_tables(spark):
+    """Recall on all documents of sf0.01 against every pair that shares a shingle."""
+    import re
+    from collections import Counter, defaultdict
+
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {}
+    for r in d.select("doc_id", "text").collect():
+        w = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", "".join(c.lower() if c.isascii() else c for c in r.text or ""))
+        if w:
+            sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    places = defaultdict(list)
+    for k, v in sets.items():
+        for x in v:
+            places[x].append(k)
+    links, parent = Counter(), {k: k for k in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, v in sets.items():
+        common = Counter(o for x in v for o in places[x] if o > k)
+        for o, n in common.items():
+            if n >= 0.8 * (len(v) + len(sets[o]) - n) - 1e-9:
+                links[k] += 1
+                links[o] += 1
+                a, b = sorted((root(k), root(o)))
+                parent[b] = a
+    got = {r.doc_id: r for r in S.join(d).collect()}
+    assert len(got) == d.count() and sum(links.values()) > 100
+    assert all(got[k].n_links == links[k] and got[k].class_id == root(k) for k in sets)
