@@ -167,7 +167,8 @@ def assign(pairs: DataFrame, iou: float = 0.6, share: float = 0.8, similarity: f
                 taken.append(i)
                 rules.append(rule)
         rows = g.iloc[taken]
-        return pd.DataFrame({"t": rows.t.to_numpy(), "a": rows.a.to_numpy(), "b": rows.b.to_numpy(), "rule": rules})
+        # as objects: strings that pandas holds in chunks are no Arrow arrays
+        return pd.DataFrame({"t": rows.t.to_numpy(), "a": rows.a.to_numpy(), "b": rows.b.to_numpy(), "rule": rules}, dtype=object)
 
     return pairs.select("t", "a", "b", "iou", "share_a", "share_b", "similarity", "log_distance").groupBy("t").applyInPandas(run, "t int, a string, b string, rule string")
 
