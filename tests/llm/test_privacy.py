@@ -194,7 +194,7 @@ class Plain:
 
         self.key, self.names = key, P._names(key)
         self.titles = [t for ts in P._TITLES.values() for t in ts]
-        self.patterns = {k: regex.compile(r"(?<![^\W\w])" + v.replace(P._ASSIGNS, "(?:" + P._ASSIGNS + ")")) for k, v in P.PATTERNS.items()}
+        self.patterns = {k: regex.compile(v, regex.ASCII) for k, v in P.PATTERNS.items()}
         self.regex = regex
 
     @staticmethod
@@ -269,21 +269,23 @@ class Plain:
         return self.scramble(e, key)
 
     def anonymise(self, text):
-        """From place to place: the first kind that matches there, in the order of precedence."""
-        at, out = 0, []
+        """From place to place: the first kind that matches there, in the order of precedence; then later mentions of names."""
+        at, plain, found, names = 0, [""], [], set()
         starts = self.regex.compile(r"[\w.%+(-]")
-        while at < len(text):
-            m = starts.search(text, at)
-            if not m:
-                break
+        while m := starts.search(text, at):
             hit = next(((k, x) for k, p in self.patterns.items() if k != "credential" and (x := p.match(text, m.start()))), None)
+            plain[-1] += text[at : m.start() if hit else m.end()]
+            at = hit[1].end() if hit else m.end()
             if hit:
-                out.append(text[at : m.start()] + self.surrogate(hit[1][0], hit[0]))
-                at = hit[1].end()
-            else:
-                out.append(text[at : m.end()])
-                at = m.end()
-        return "".join(out) + text[at:]
+                found.append(self.surrogate(hit[1][0], hit[0]))
+                plain.append("")
+                if hit[0] == "name":
+                    names |= {w for w in re.sub(rf"^(?:{P._TITLE}\.? )*", "", hit[1][0]).split(" ") if len(w) > 1}
+        plain[-1] += text[at:]
+        if names:
+            later = self.regex.compile(r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(names)) + r")(?![\p{L}'’-])")
+            plain = [later.sub(lambda m: self.surrogate(m[0], "name"), x) for x in plain]
+        return "".join(x + y for x, y in zip(plain, [*found, ""], strict=True))
 
 
 def test_replacement_agrees_with_a_plain_one(spark):
