@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cytoframe.llm import chat, decontamination, html, language, packing, pieces, privacy, quality, rules, similarity, toxicity
+from cytoframe.llm import chat, collocations, decontamination, html, language, packing, pieces, privacy, quality, rules, similarity, toxicity
 from cytoframe.llm.tables import read_table
 
 
@@ -60,15 +60,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each of the best phrases of each language of `documents`; edge cases as in `collocations.mine`."""
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each row of `documents`: doc_id, n_tokens and the digests of its ids and of the decoded text; edge cases as in `pieces.encode_documents`."""
     return pieces.digests(pieces.encode_documents(read_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard, op2_quality_classifier, op3_language_id, op4_html_extraction, op5_quality_rules, op6_toxicity, op7_chat_formatting, op8_pii, op9_decontamination, op10_packing, op12_sentencepiece)
+    found = (op1_ngram_jaccard, op2_quality_classifier, op3_language_id, op4_html_extraction, op5_quality_rules, op6_toxicity, op7_chat_formatting, op8_pii, op9_decontamination, op10_packing, op11_collocations, op12_sentencepiece)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": chat.ORACLE_SQL, "op9_decontamination": decontamination.ORACLE_SQL}
+    return {"op7_chat_formatting": chat.ORACLE_SQL, "op9_decontamination": decontamination.ORACLE_SQL, "op11_collocations": collocations.ORACLE_SQL}
