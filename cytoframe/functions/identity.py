@@ -193,6 +193,19 @@ def redacted(config: object) -> object:
     return [redacted(v) for v in config] if isinstance(config, (list, tuple)) else config
 
 
+#: A name with one of the words, an equals sign or colon, and what follows: a quoted text or one without spaces.
+_ASSIGNED_SECRET = rf"""([A-Za-z0-9_]*(?i:{"|".join(SECRET_WORDS)})[A-Za-z0-9_]*[ \t]*[=:][ \t]*)("[^"\n]*"|'[^'\n]*'|[^ \t\n\r"']+)"""
+
+
+def redacted_text(text: Column) -> Column:
+    """A text in which the values that are assigned to secrets are masked; the names stay."""
+    return F.regexp_replace(text, _ASSIGNED_SECRET, "$1<redacted>")
+
+
+def count_secrets(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(_ASSIGNED_SECRET))
+
+
 def diagnose_log(text: Column) -> Column:
     """Why a job's log says it ended: out of memory, time, its last error line, or null."""
     return F.when(F.lower(text).rlike("oom[- ]?kill|out of memory|memoryerror"), "out of memory").when(F.lower(text).rlike("due to time limit|timelimit"), "time limit").otherwise(F.try_element_at(F.regexp_extract_all(text, F.lit(r"(?m)^([A-Za-z_.]+(?:Error|Exception)\b.*)$"), F.lit(1)), F.lit(-1)))
