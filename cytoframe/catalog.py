@@ -822,4 +822,4 @@ def cell_features(spark, sf_dir):
     return S.feature_table(f, ["Phase", "AF405"]).select("image_id", "label", "area_px", "perimeter_px", "solidity", "intensity_AF405_mean", "AF405_mean_bgsub", "width_q3_px", "AF405_state_code")
 
 
-from cytoframe import catalog_tables  # noqa: E402, F401  its queries register themselves
+from cytoframe import catalog_networks, catalog_tables  # noqa: E402, F401  their queries register themselves
