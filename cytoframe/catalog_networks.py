@@ -1,4 +1,4 @@
-"""Registered queries of the networks, with SQL that says the same layer by layer."""
+"""Registered queries of networks and outlines, with SQL that says the same layer by layer and pixel by pixel."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cytoframe.catalog import PIXELS_SQL, query, rounded, table
 from cytoframe.operators import networks as N
+from cytoframe.operators import regions as R
+from cytoframe.sources import rois as RO
 
 #: The arrays of a small network by name: a running number, and the shape.
 _KERNELS = {
@@ -74,3 +76,60 @@ def unet_classes(spark, sf_dir):
     patches = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.array("embedding").alias("planes"))
     weights = N.broadcast_weights(N.weights_table(spark, small_network()))
     return rounded(N.class_summary(N.predict(patches, weights, multiple=8)))
+
+
+# ---- outlines --------------------------------------------------------------
+
+#: Directions of sixteen points around the middle of an image of 32 by 32 pixels.
+_AROUND = [(12, 0), (11, 5), (8, 8), (5, 11), (0, 12), (-5, 11), (-8, 8), (-11, 5), (-12, 0), (-11, -5), (-8, -8), (-5, -11), (0, -12), (5, -11), (8, -8), (11, -5)]
+_AT_SQL = f"(CASE i {' '.join(f'WHEN {k} THEN {{}}' for k in range(16))} END)"
+
+
+def _outlines(spark, sf_dir):
+    """A star around the middle of an image for each vector."""
+    e = table(spark, sf_dir, "embeddings")
+
+    def along(axis):
+        return F.array(*[16 + d[axis] * (0.5 + F.get("embedding", F.lit(k)).cast("double")) for k, d in enumerate(_AROUND)])
+
+    return e.select(F.col("vec_id").alias("image_id"), F.lit(1).alias("label"), along(0).alias("xs"), along(1).alias("ys"))
+
+
+_STAR_SQL = f"""star AS (SELECT vec_id, i, 16 + {_AT_SQL.format(*[d[0] for d in _AROUND])} * (0.5::DOUBLE + CAST(embedding[i + 1] AS DOUBLE)) AS x, 16 + {_AT_SQL.format(*[d[1] for d in _AROUND])} * (0.5::DOUBLE + CAST(embedding[i + 1] AS DOUBLE)) AS y
+  FROM embeddings, range(16) r(i))"""
+
+
+@query(f"WITH {_STAR_SQL} SELECT vec_id, CAST(0 AS INTEGER) AS number, 'cell ' || vec_id AS name, 'freehand' AS kind, count(*) AS n_points, sum(round(x) * (i + 1)) AS x_moment, sum(round(y) * (i + 1)) AS y_moment, CAST(min(round(y)) AS INTEGER) AS top, CAST(max(round(x)) AS INTEGER) AS right FROM star GROUP BY vec_id")
+def roi_archives(spark, sf_dir):
+    """Outlines written as archives and read back."""
+    o = _outlines(spark, sf_dir)
+    whole = o.select(F.col("image_id").cast("string").alias("archive"), F.lit(0).alias("number"), F.concat(F.lit("cell "), "image_id").alias("name"), F.lit("freehand").alias("kind"), F.transform("xs", lambda v: F.round(v)).alias("xs"), F.transform("ys", lambda v: F.round(v)).alias("ys"))
+    back = RO.decoded(RO.archives(whole).select(F.concat(F.lit("/rois/"), "archive", F.lit(".zip")).alias("path"), "content"))
+
+    def moment(c):
+        return F.aggregate(F.transform(c, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+
+    return back.select(F.col("archive").cast("long").alias("vec_id"), "number", "name", "kind", F.size("xs").cast("long").alias("n_points"), moment("xs").alias("x_moment"), moment("ys").alias("y_moment"), "top", "right")
+
+
+_ROI_SQL = f"""WITH {_STAR_SQL}, cut AS (
+  SELECT vec_id, 0 AS j, x, y FROM star WHERE i = 0 UNION ALL SELECT vec_id, 31, x, y FROM star WHERE i = 15
+  UNION ALL SELECT a.vec_id, 2 * a.i + 1 + k, CASE k WHEN 0 THEN a.x * 0.75::DOUBLE + b.x * 0.25::DOUBLE ELSE a.x * 0.25::DOUBLE + b.x * 0.75::DOUBLE END, CASE k WHEN 0 THEN a.y * 0.75::DOUBLE + b.y * 0.25::DOUBLE ELSE a.y * 0.25::DOUBLE + b.y * 0.75::DOUBLE END
+  FROM star a JOIN star b ON b.vec_id = a.vec_id AND b.i = a.i + 1, range(2) k(k)),
+edge AS (SELECT a.vec_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM cut a JOIN cut b ON b.vec_id = a.vec_id AND b.j = (a.j + 1) % 32),
+hit AS (SELECT vec_id, y, x1 + (y - y1) * (x2 - x1) / (y2 - y1) AS c FROM edge, range(32) r(y) WHERE (y1 <= y) <> (y2 <= y)),
+filled AS (SELECT vec_id, y, x FROM hit, range(32) r(x) WHERE c > x GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1),
+near AS (SELECT dy, dx FROM range(-2, 3) a(dy), range(-2, 3) b(dx) WHERE dy * dy + dx * dx <= 4),
+core AS (SELECT f.vec_id, f.y, f.x FROM filled f, near n LEFT JOIN filled g ON g.vec_id = f.vec_id AND g.y = f.y + n.dy AND g.x = f.x + n.dx WHERE n.dy * n.dy + n.dx * n.dx <= 1 AND f.y + n.dy BETWEEN 0 AND 31 AND f.x + n.dx BETWEEN 0 AND 31 GROUP BY 1, 2, 3 HAVING count(*) = count(g.y)),
+around AS (SELECT DISTINCT vec_id, y + dy AS y, x + dx AS x FROM core, near WHERE y + dy BETWEEN 0 AND 31 AND x + dx BETWEEN 0 AND 31),
+marked AS (SELECT a.vec_id, a.y, a.x, CASE WHEN c.y IS NULL THEN 125 ELSE 254 END AS value FROM around a LEFT JOIN core c ON c.vec_id = a.vec_id AND c.y = a.y AND c.x = a.x)
+SELECT vec_id, count(*) FILTER (value = 254) AS n_core, count(*) FILTER (value = 125) AS n_edge, CAST(sum(y * value) AS BIGINT) AS y_moment, CAST(sum(x * x * value) AS BIGINT) AS x_moment FROM marked GROUP BY 1"""
+
+
+@query(_ROI_SQL)
+def roi_level_masks(spark, sf_dir):
+    """Outlines with cut corners as masks of two levels: their cores and what is around them."""
+    o = _outlines(spark, sf_dir)
+    m = R.level_masks(o, o.select("image_id", F.lit(32).alias("height"), F.lit(32).alias("width")), radius=1)
+    weighed = [F.sum((F.col("y") * F.col("value")).cast("long")).alias("y_moment"), F.sum((F.col("x") * F.col("x") * F.col("value")).cast("long")).alias("x_moment")]
+    return m.groupBy(F.col("image_id").alias("vec_id")).agg(F.count_if(F.col("value") == R.CORE).alias("n_core"), F.count_if(F.col("value") == R.EDGE).alias("n_edge"), *weighed)
