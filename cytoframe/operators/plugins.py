@@ -12,7 +12,7 @@ from cytoframe.functions import imaging
 
 @dataclass(frozen=True)
 class Context:
-    """What a plugin gets of one cell and channel."""
+    """What a plugin gets of one cell and channel; the profile is freed of its background."""
 
     image: np.ndarray
     mask: np.ndarray
@@ -50,15 +50,19 @@ def _poles(c: Context) -> tuple[dict[str, float], list[dict]]:
     return {"poleA": a, "poleB": b, "center": m, "polar_asym": asym, "center_enrichment": rich, "peak_count": float(imaging.count_peaks(p)), "state_code": float(state)}, []
 
 
+#: How spots are looked for in a channel.
+SPOT_SETTINGS = {"min_distance": 1, "threshold_rel": 0.1, "smooth": 0.5, "log_sigma": 1.0}
+
+
 def _spots(c: Context) -> tuple[dict[str, float], list[dict]]:
-    found = imaging.detect_spots(c.image, c.mask, c.core, c.background)
+    found = imaging.detect_spots(c.image, c.mask, c.core, c.background, **SPOT_SETTINGS)
     for i, s in enumerate(found):
         s["punctum_id"] = i
         s["axial_s"], s["radial_r"] = imaging.axial_radial(s["y_px"], s["x_px"], c.midline) if c.midline is not None and len(c.midline) > 1 else (float("nan"), float("nan"))
     if not found:
         return {"puncta_count": 0.0}, []
-    peaks, logs = [s["peak_intensity"] for s in found], [abs(s["log"]) for s in found]
-    return {"puncta_count": float(len(found)), "puncta_total_intensity": sum(peaks), "puncta_max_intensity": max(peaks), "puncta_mean_sigma_px": float(np.mean(logs)), "puncta_max_sigma_px": max(logs), "puncta_fraction": sum(peaks) / (float(c.image[c.mask].sum()) + 1e-10)}, found
+    peaks, sizes = [s["peak_intensity"] for s in found], [s["sigma_px"] for s in found]
+    return {"puncta_count": float(len(found)), "puncta_total_intensity": sum(peaks), "puncta_max_intensity": max(peaks), "puncta_mean_sigma_px": float(np.mean(sizes)), "puncta_max_sigma_px": max(sizes), "puncta_fraction": sum(peaks) / (float(c.image[c.mask].sum()) + 1e-10)}, found if c.midline is not None else []
 
 
 POLES = Plugin("poles", ("af405", "hada"), ("poleA", "poleB", "center", "polar_asym", "center_enrichment", "peak_count", "state_code"), _poles)

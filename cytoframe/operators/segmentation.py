@@ -153,14 +153,14 @@ def profile(p: np.ndarray | None, channel: str) -> dict[str, float]:
 
 
 def fluorescence(image: np.ndarray, mask: np.ndarray, line: np.ndarray | None, channel: str, points: int = 100, plugins: list[Plugin] | None = None) -> tuple[dict[str, float], np.ndarray | None, list[dict]]:
-    """Background, zones, profile and plugin features of a channel; its profile and its events."""
+    """Background, zones, profile and plugin features of a channel; its profile, brighter half first, and its events."""
     ring = I.dilate(mask, 5) & ~I.dilate(mask, 3)
     core = I.erode(mask, 2)
     shell = mask & ~core
     mean = lambda zone: float(image[zone].mean()) if zone.any() else float("nan")
     back = image[ring]
     p = I.resampled(I.along_strip(line, image), points) if line is not None and len(line) >= 3 else None
-    p = None if p is None or not np.isfinite(p).all() else p
+    p = None if p is None or not np.isfinite(p).all() else I.oriented(p)
     d = np.abs(np.diff(p)) if p is not None else None
     values = {
         "bg_mean": mean(ring), "bg_median": float(np.median(back)) if len(back) else float("nan"), "bg_std": float(back.std()) if len(back) else float("nan"), "mean_bgsub": mean(mask) - (mean(ring) if np.isfinite(mean(ring)) else 0.0),
@@ -168,7 +168,8 @@ def fluorescence(image: np.ndarray, mask: np.ndarray, line: np.ndarray | None, c
         **(dict.fromkeys(schemas.FLUORESCENCE[7:], float("nan")) if p is None else dict(zip(schemas.FLUORESCENCE[7:], map(float, (p.mean(), p.max(), d.mean(), d.max(), p.argmax() / (len(p) - 1), p.max())), strict=True))),
     }
     events: list[dict] = []
-    context = Context(image, mask, core, line, p, values["bg_mean"] if np.isfinite(values["bg_mean"]) else 0.0)
+    ground = values["bg_mean"] if np.isfinite(values["bg_mean"]) else 0.0
+    context = Context(image, mask, core, line, None if p is None else p - ground, ground)
     for plugin in matching(channel, REGISTRY if plugins is None else plugins):
         found, more = plugin.extract(context)
         values |= plugin.empty() | found
