@@ -11,7 +11,6 @@ the only one, a position from which nothing leads on fails for good.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,7 +22,11 @@ from cytoframe.llm.arrow_text import parts
 
 SPACE = "▁"
 #: Bounds of what a worker keeps: chunks of up to so many characters, so many of them, and so many pairs of pieces.
-CHUNK_CHARACTERS, CHUNKS_KEPT, PAIRS_KEPT = 48, 1 << 18, 1 << 20
+CHUNK_CHARACTERS, CHUNKS_KEPT, PAIRS_KEPT = 48, 1 << 20, 1 << 19
+#: Marks before which a chunk ends where they follow a letter, as far as no piece of the model has a letter before them.
+MARKS = ".,;:!?"
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_ONE = (1,)
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -42,20 +45,30 @@ class PieceEncoder:
         plain = [i for i in range(size) if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
         self.ids = {self.model.id_to_piece(i): i for i in plain}
         self.scores = {p: self.model.get_score(i) for p, i in self.ids.items()}
-        self.matches = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.longest = max(map(len, self.ids))
+        # Each piece stands for the lengths of all pieces that begin as it does, itself first, and of its first character.
+        self.matches = ahocorasick.Automaton()
         for p in self.ids:
-            self.matches.add_word(p)
+            self.matches.add_word(p, (*[k for k in range(len(p), 1, -1) if p[:k] in self.ids], 1))
         self.matches.make_automaton()
-        self.longest = max(map(len, self.ids))
-        if self.longest > 255:
-            raise ValueError("pieces of over 255 characters")
-        # A boundary that no piece crosses cuts a text into chunks whose ids do not depend on each other.
-        crossing = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        breaks = "" if any("\n" in p for p in self.ids if p != "\n") else "\n"
-        self.chunk = re.compile(f"{SPACE}+[^{SPACE}{breaks}]*|[^{SPACE}{breaks}]+|[\n]" if not crossing else "(?s:.+)")
+        self.chunk = re.compile(self._chunk_pattern())
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
+    def _chunk_pattern(self) -> str:
+        """Cuts only where no piece of the model lies across: what is cut there is merged on each side alone.
+
+        Before spaces that follow anything else, around line ends, and between
+        letters and those marks that no piece has after a letter.
+        """
+        joined = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
+        if any(b == SPACE != a for a, b in joined):
+            return "(?s:.+)"
+        ends = "" if any("\n" in pair for pair in joined) else "\n"
+        rest = f"{SPACE}+[^{SPACE}{ends}]*|[^{SPACE}{ends}]+|\n"
+        marks = re.escape("".join(m for m in MARKS if not any(b == m and a.isalpha() for a, b in joined)))
+        return f"{SPACE}*[^{SPACE}{ends}]*?[{LETTERS}](?=[{marks}])|{rest}" if marks else rest
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging the best pair, the leftmost of equals, again and again."""
         pieces, scores = list(text), self.scores
@@ -77,64 +90,56 @@ class PieceEncoder:
         self.pairs[left, right] = fits
         return fits
 
-    def longest_at(self, text: str, at: int) -> int:
-        """The length of the longest piece from ``at`` on; of one character where no piece begins."""
-        for end, size in self.matches.iter_long(text[at : at + self.longest]):
-            return size if end + 1 == size else 1
-        return 1
+    def lengths_at(self, text: str, at: int) -> tuple[int, ...]:
+        """The lengths of the pieces that begin at a place, the longest first; one character may be no piece."""
+        for end, lengths in self.matches.iter_long(text[at : at + self.longest]):
+            return lengths if end + 1 == lengths[0] else _ONE
+        return _ONE
 
     def sizes(self, text: str) -> bytearray:
         """The lengths of a normalised text's pieces; a character that is no piece is one of its own."""
-        n, ids, pairs = len(text), self.ids, self.pairs
-        failed, taken = bytearray(n // 8 + 1), bytearray()
-        at, left = 0, ""
-        size = self.longest_at(text, 0)
+        n, pairs, failed, taken = len(text), self.pairs, None, bytearray()
+        at, left, below = 0, "", 256
         while at < n:
-            while size:
+            for size in self.lengths_at(text, at):
                 end = at + size
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    piece = text[at:end]
-                    fits = pairs.get((left, piece))
-                    if self.compatible(left, piece) if fits is None else fits:
-                        break
-                size -= 1
-                while size > 1 and text[at : at + size] not in ids:
-                    size -= 1
-            if size:
-                taken.append(size)
-                left, at = piece, end
-                size = self.longest_at(text, at)
+                if size >= below or failed is not None and failed[end >> 3] >> (end & 7) & 1:
+                    continue
+                piece = text[at:end]
+                fits = pairs.get((left, piece))
+                if self.compatible(left, piece) if fits is None else fits:
+                    taken.append(size)
+                    left, at, below = piece, end, 256
+                    break
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                size = taken.pop()
-                at -= size
+                below = taken.pop()
+                at -= below
                 left = text[at - taken[-1] : at] if taken else ""
         return taken
 
-    def of_chunk(self, text: str) -> tuple[int, ...] | array:
-        """The ids of a chunk; characters without a piece are their bytes."""
-        known = self.chunks.get(text)
-        if known is not None:
-            return known
-        found, at = array("i"), 0
+    def of_chunk(self, text: str) -> list[int]:
+        """The ids of a chunk; characters without a piece are their bytes.  Short chunks are kept."""
+        found, at, ids = [], 0, self.ids
         for size in self.sizes(text):
             piece = text[at : at + size]
             at += size
-            i = self.ids.get(piece)
-            if i is None:
-                found.extend(self.bytes[b] for b in piece.encode())
+            if piece in ids:
+                found.append(ids[piece])
             else:
-                found.append(i)
-        if len(text) > CHUNK_CHARACTERS:
-            return found
-        if len(self.chunks) >= CHUNKS_KEPT:
-            self.chunks.clear()
-        self.chunks[text] = kept = tuple(found)
-        return kept
+                found += [self.bytes[b] for b in piece.encode()]
+        if len(text) <= CHUNK_CHARACTERS:
+            if len(self.chunks) >= CHUNKS_KEPT:
+                self.chunks.clear()
+            self.chunks[text] = tuple(found)
+        return found
 
     def encode(self, text: str) -> list[int]:
         """The ids of a text of any length, as the library's ``encode`` gives them."""
-        return list(chain.from_iterable(map(self.of_chunk, self.chunk.findall(self.model.normalize(text)))))
+        known, new = self.chunks.get, self.of_chunk
+        return list(chain.from_iterable([known(c) or new(c) for c in self.chunk.findall(self.model.normalize(text))]))
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
