@@ -480,10 +480,10 @@ def length_bins(spark, sf_dir):
 
 
 def _spots(spark, sf_dir):
-    return patch(spark, sf_dir).where("value > 1.2").select(F.col("image_id").alias("cell_id"), (F.col("y") * 8 + F.col("x")).alias("punctum_id"), F.col("y").cast("double").alias("y_px"), F.col("x").cast("double").alias("x_px"), F.col("value").alias("peak_intensity"), (-F.col("value") / 2).alias("log"))
+    return patch(spark, sf_dir).where("value > 0.25").select(F.col("image_id").alias("cell_id"), (F.col("y") * 8 + F.col("x")).alias("punctum_id"), F.col("y").cast("double").alias("y_px"), F.col("x").cast("double").alias("x_px"), F.col("value").alias("peak_intensity"), (-F.col("value") / 2).alias("log"))
 
 
-@query(f"""WITH {PIXELS_SQL}, t AS (SELECT image_id AS cell_id, sum(abs(value)) AS total FROM px GROUP BY 1), s AS (SELECT image_id AS cell_id, count(*) AS n, sum(value) AS su, max(value) AS mx, avg(abs(value / 2)) AS ml, max(abs(value / 2)) AS xl FROM px WHERE value > 1.2 GROUP BY 1)
+@query(f"""WITH {PIXELS_SQL}, t AS (SELECT image_id AS cell_id, sum(abs(value)) AS total FROM px GROUP BY 1), s AS (SELECT image_id AS cell_id, count(*) AS n, sum(value) AS su, max(value) AS mx, avg(abs(value / 2)) AS ml, max(abs(value / 2)) AS xl FROM px WHERE value > 0.25 GROUP BY 1)
 SELECT cell_id, coalesce(n, 0) AS punctum_count, round(su, 6) AS total_punctum_intensity, round(mx, 6) AS max_punctum_intensity, round(ml, 6) AS mean_log, round(xl, 6) AS max_log, round(su / (total + 1e-10), 6) AS fraction_of_total FROM t LEFT JOIN s USING (cell_id)""")
 def puncta_summary(spark, sf_dir):
     total = patch(spark, sf_dir).groupBy(F.col("image_id").alias("cell_id")).agg(F.sum(F.abs("value")).alias("total_intensity"))
@@ -492,7 +492,7 @@ def puncta_summary(spark, sf_dir):
 
 @query(f"""WITH {PIXELS_SQL}, l AS (SELECT image_id AS cell_id, y AS i, y AS ly, 3.5 + 0.5 * value AS lx FROM px WHERE x = 0),
 d AS (SELECT *, coalesce(sqrt(1 + pow(lx - lag(lx) OVER (PARTITION BY cell_id ORDER BY i), 2)), 0) AS d FROM l), a AS (SELECT *, sum(d) OVER (PARTITION BY cell_id ORDER BY i) / sum(d) OVER (PARTITION BY cell_id) AS f FROM d),
-p AS (SELECT image_id AS cell_id, y * 8 + x AS punctum_id, y, x FROM px WHERE value > 1.2), j AS (SELECT p.cell_id, punctum_id, f, sqrt(pow(y - ly, 2) + pow(x - lx, 2)) AS r, i FROM p JOIN a USING (cell_id))
+p AS (SELECT image_id AS cell_id, y * 8 + x AS punctum_id, y, x FROM px WHERE value > 0.25), j AS (SELECT p.cell_id, punctum_id, f, sqrt(pow(y - ly, 2) + pow(x - lx, 2)) AS r, i FROM p JOIN a USING (cell_id))
 SELECT cell_id, CAST(punctum_id AS INTEGER) AS punctum_id, round(f, 6) AS axial_s, round(r, 6) AS radial_r FROM (SELECT *, row_number() OVER (PARTITION BY cell_id, punctum_id ORDER BY r, i) AS k FROM j) WHERE k = 1""")
 def axial_positions(spark, sf_dir):
     line = patch(spark, sf_dir).where("x = 0").select(F.col("image_id").alias("cell_id"), F.col("y").alias("i"), F.col("y").cast("double").alias("y"), (3.5 + 0.5 * F.col("value")).alias("x"))
@@ -635,11 +635,11 @@ def central_selection(spark, sf_dir):
     return found.select("image_id", "label", "is_central", F.round("distance_to_center_px", 5).alias("distance_to_center_px"))
 
 
-@query(f"""WITH {PIXELS_SQL}, m AS (SELECT image_id, avg(value) FILTER (value > 1.5) AS own, avg(value) FILTER (abs(y - 4) <= 2 AND abs(x - 4) <= 2) AS mid FROM px GROUP BY 1)
+@query(f"""WITH {PIXELS_SQL}, m AS (SELECT image_id, avg(value) FILTER (value > 0.3) AS own, avg(value) FILTER (abs(y - 4) <= 2 AND abs(x - 4) <= 2) AS mid FROM px GROUP BY 1)
 SELECT image_id, 'p' AS channel, round(coalesce(own, mid), 5) AS mean FROM m""")
 def roi_or_centre_means(spark, sf_dir):
     p = patch(spark, sf_dir)
-    return rounded(P.roi_or_centre_means(p.withColumn("channel", F.lit("p")), p.where("value > 1.5"), 8, 8), 5)
+    return rounded(P.roi_or_centre_means(p.withColumn("channel", F.lit("p")), p.where("value > 0.3"), 8, 8), 5)
 
 
 @query(f"WITH {PIXELS_SQL} SELECT image_id, CAST(y // 2 AS INTEGER) AS y, CAST(x // 2 AS INTEGER) AS x, min(value) AS value FROM px GROUP BY ALL")
@@ -761,9 +761,13 @@ def padded_box(spark, sf_dir):
 # ---- sweeps and monitoring -------------------------------------------------
 
 
-@query("SELECT a AS area_min, b AS area_max, c AS method FROM (VALUES (1), (10), (20)) x(a), (VALUES (30), (50)) y(b), (VALUES ('iso'), ('local')) z(c)")
+@query("SELECT a AS area_min, b AS area_max, c AS l_returnflag, (SELECT count(*) FROM lineitem WHERE l_returnflag = c AND l_quantity BETWEEN a AND b) AS n_cells FROM (VALUES (1), (10), (20)) x(a), (VALUES (30), (50)) y(b), (VALUES ('A'), ('N'), ('X')) z(c)")
 def grid_sweep(spark, sf_dir):
-    return SW.grid(spark, {"area_min": [1, 10, 20], "area_max": [30, 50], "method": ["iso", "local"]}).drop("config_id")
+    """Every combination of bounds and flags, with the cells that it finds."""
+    grid = SW.grid(spark, {"area_min": [1, 10, 20], "area_max": [30, 50], "l_returnflag": ["A", "N", "X"]})
+    sizes = cells(spark, sf_dir).groupBy("l_returnflag", "area_px").agg(F.count("*").alias("n"))
+    hit = grid.join(sizes.withColumnRenamed("l_returnflag", "flag"), (F.col("l_returnflag") == F.col("flag")) & F.col("area_px").between(F.col("area_min"), F.col("area_max")), "left")
+    return hit.groupBy("area_min", "area_max", "l_returnflag").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_cells"))
 
 
 @query("SELECT a AS area_min, b AS area_max, (SELECT count(*) FROM lineitem) AS n_cells, (SELECT count(*) FROM lineitem WHERE l_quantity BETWEEN a AND b) AS n_passed FROM (VALUES (1), (10), (20)) x(a), (VALUES (30), (50)) y(b)")

@@ -107,12 +107,12 @@ def _documents(spark, sf_dir):
     metrics = F.struct(F.col("l_quantity").alias("area"), F.col("l_discount").alias("aspect_ratio"), F.create_map(F.lit("Phase"), F.col("l_extendedprice")).alias("intensity"))
     reasons = F.when(F.col("l_returnflag") == "R", F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>"))
     cell = F.struct(F.col("l_linenumber").alias("label"), F.when(F.col("l_partkey") % 2 == 0, F.concat(F.lit("c"), "l_partkey")).alias("cell_id"), (F.col("l_returnflag") != "R").alias("included"), reasons.alias("failure_reasons"), F.array("l_partkey", "l_suppkey").alias("bbox"), F.array("l_tax", "l_discount").alias("centroid"), metrics.alias("metrics"), (F.col("l_linenumber") == 2).alias("is_central"))
-    docs = table(spark, sf_dir, "lineitem").where("l_linenumber < 4").groupBy(F.col("l_orderkey").cast("string").alias("image_id")).agg(F.collect_list(cell).alias("cells"))
+    docs = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("image_id")).agg(F.collect_list(cell).alias("cells"))
     text = F.to_json(F.struct("image_id", F.concat(F.lit("/in/"), "image_id").alias("source_path"), F.when(F.col("image_id").cast("long") % 3 == 0, 1).alias("central_label"), "cells"))
     return docs.select(F.from_json(text, schemas.METADATA).alias("d")).select("d.*")
 
 
-_FLAT_SQL = "flat AS (SELECT CAST(l_orderkey AS VARCHAR) AS image_id, l_linenumber AS label, CASE WHEN l_partkey % 2 = 0 THEN 'c' || l_partkey ELSE l_orderkey || '_' || l_linenumber END AS cell_id, l_returnflag <> 'R' AS included, CASE WHEN l_returnflag = 'R' THEN 'a; b' ELSE '' END AS failure_reasons, CAST(l_partkey AS INTEGER) AS bbox_x1, CAST(l_suppkey AS INTEGER) AS bbox_y1, l_tax AS centroid_y, l_discount AS centroid_x, l_quantity AS area, l_extendedprice AS intensity_Phase, l_linenumber = 2 AS is_central FROM lineitem WHERE l_linenumber < 4)"
+_FLAT_SQL = "flat AS (SELECT CAST(l_orderkey AS VARCHAR) AS image_id, l_linenumber AS label, CASE WHEN l_partkey % 2 = 0 THEN 'c' || l_partkey ELSE l_orderkey || '_' || l_linenumber END AS cell_id, l_returnflag <> 'R' AS included, CASE WHEN l_returnflag = 'R' THEN 'a; b' ELSE '' END AS failure_reasons, CAST(l_partkey AS INTEGER) AS bbox_x1, CAST(l_suppkey AS INTEGER) AS bbox_y1, l_tax AS centroid_y, l_discount AS centroid_x, l_quantity AS area, l_extendedprice AS intensity_Phase, l_linenumber = 2 AS is_central FROM lineitem)"
 
 
 @query(f"WITH {_FLAT_SQL} SELECT * EXCLUDE (is_central), CAST(NULL AS INTEGER) AS bbox_x2, CAST(NULL AS DOUBLE) AS length_um FROM flat")
