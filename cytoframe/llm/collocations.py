@@ -31,7 +31,7 @@ from cytoframe.llm.tables import checkpointed
 
 DEPTH = 4
 #: Words that a shard's trie holds at most before it is serialised, and keys that a merge holds beyond its frequent ones before it adds up.
-SHARD_WORDS, MERGE_ROWS = 1 << 20, 1 << 21
+SHARD_WORDS, MERGE_ROWS = 1 << 19, 1 << 20
 #: Bits of the bitmap of frequent pairs: 8 MB, whatever the size of the corpus.
 PAIR_BITS = 1 << 26
 #: Documents sampled for the bounds of ranges, for each range, and keys of them for each range.
@@ -225,8 +225,9 @@ def merged(runs: Iterator[bytes], least: int) -> tuple[pa.Array, np.ndarray]:
 
 
 def _summed(tables: list[pa.Table]) -> pa.Table:
-    """Each key once, with the sum of its counts, which stay whole numbers below 2**53."""
+    """Each key once, with the sum of its counts, which stay whole numbers below 2**53; the list of tables is used up."""
     both = pa.concat_tables(tables).combine_chunks()
+    tables.clear()  # or the runs would be held twice
     if not len(both):
         return both
     coded = both["key"].chunk(0).dictionary_encode()
@@ -258,10 +259,20 @@ def _shards(batches: Iterator[pa.RecordBatch], pairs: np.ndarray | None) -> Iter
         for start, end, data, offsets in text_slices(batch, "text"):
             trie.add(Words(data, offsets), langs[start:end])
             if trie.size >= SHARD_WORDS:
-                yield trie.serialised(pairs)
-                trie = ShardTrie()
+                done, trie = trie.serialised(pairs), ShardTrie()
+                yield done
+                done = None
+                _give_back()
     if trie.parts:
-        yield trie.serialised(pairs)
+        done, trie = trie.serialised(pairs), None
+        yield done
+    done = None
+    _give_back()
+
+
+def _give_back() -> None:
+    """Memory that Arrow keeps for later goes back: a worker lives on, and what it runs next may need none."""
+    pa.default_memory_pool().release_unused()
 
 
 def range_bounds(docs: DataFrame, n_ranges: int) -> pa.Array:
@@ -314,6 +325,7 @@ def _by_range(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[tuple[i
             runs.setdefault(r, []).append(run)
     for r in sorted(runs):
         yield r, *merged(iter(runs.pop(r)), least)
+        _give_back()
 
 
 def merge_runs(runs: DataFrame, n_ranges: int, least: int) -> DataFrame:
