@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +36,45 @@ def scratch_folder(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
 
 
+_MADE = threading.local()
+
+
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def written(df: DataFrame) -> DataFrame:
-    """The same rows, from a Parquet table in the shared folder."""
-    folder = f"{scratch_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The same rows, from a Parquet table in the shared folder.
+
+    The table may hold texts as they came: it goes when the driver ends, or
+    earlier where its maker knows that nothing reads it any more (`tables_made`).
+    """
+    spark = df.sparkSession
+    folder = f"{scratch_folder(spark)}/table-{uuid.uuid4().hex}"
+    files, path = _path(spark, folder)
+    try:
+        df.write.parquet(folder)
+    finally:
+        if files.exists(path):
+            files.deleteOnExit(path)
+    for made in getattr(_MADE, "lists", []):
+        made.append(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+@contextlib.contextmanager
+def tables_made(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that `written` made within it in this thread."""
+    made: list[str] = []
+    _MADE.lists = [*getattr(_MADE, "lists", []), made]
+    try:
+        yield
+    finally:
+        _MADE.lists = [x for x in _MADE.lists if x is not made]
+        for folder in made:
+            files, path = _path(spark, folder)
+            files.delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

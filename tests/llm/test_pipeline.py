@@ -36,3 +36,30 @@ def test_stages_take_odd_rows(spark):
                 assert out.columns == docs.columns
             out.count()
             at = out if name != "packing" else at
+
+
+def test_tables_on_the_way_go(spark):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from cytoframe.llm import privacy
+    from cytoframe.llm.tables import scratch_folder, tables_made, written
+
+    left = lambda: {d for d in (os.listdir(scratch_folder(spark)) if os.path.isdir(scratch_folder(spark)) else []) if d.startswith("table-")}
+    before = left()
+    docs = spark.createDataFrame([(1, "mail john.doe@example.com now"), (2, "clean")], "doc_id long, text string")
+    with tables_made(spark):
+        outer = written(docs)
+        with tables_made(spark):
+            texts = sorted(r.text for r in privacy.anonymise(docs, "key").collect())
+            assert len(left() - before) == 2
+        assert outer.count() == 2 and len(left() - before) == 1
+    assert left() == before and texts[0] == "clean" and "john.doe" not in texts[1]
+    with pytest.raises(ZeroDivisionError), tables_made(spark):
+        written(docs)
+        raise ZeroDivisionError
+    with pytest.raises(Exception, match="no text"):
+        written(docs.withColumn("text", F.raise_error(F.lit("no text"))))
+    assert left() <= before | left() and all(not os.path.exists(f"{scratch_folder(spark)}/{d}/_SUCCESS") for d in left() - before)
