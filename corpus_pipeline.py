@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cytoframe.llm import decontamination, language, packing, privacy, similarity
-from cytoframe.llm.tables import read_table, scratch_folder
+from cytoframe.llm.tables import read_table, scratch_folder, tables_made
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,7 +82,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_folder(spark)}/corpus-{uuid.uuid4().hex}"
     try:
         for k, (_, stage) in enumerate(STAGES):
-            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+            with tables_made(spark):  # what a stage wrote on its way goes with it, personal data too
+                stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
             if k:
                 _remove(spark, f"{folder}/{k - 1}")
             docs = spark.read.parquet(f"{folder}/{k}")
