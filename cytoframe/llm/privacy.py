@@ -67,6 +67,8 @@ def _any(*kinds: str) -> str:
 ENTITY = rf"(?<![A-Za-z0-9])(?=[\w.%+-]){_any('email', 'secret', 'iban')}|(?=[0-9+(]){_any('ip', 'ssn', 'phone', 'card')}|{_any('credential')}|(?=[\p{{Lu}}г]){_any('name')}"
 #: A word of a name that stands alone, as later mentions do.
 _MENTION = r"(?<![\p{L}\p{N}])" + _WORD + r"(?!\p{L})"
+#: A capitalised word with all that belongs to it.
+_RUN = r"(?<![\p{L}\p{N}])" + _WORD
 # Characters for private use mark entities; where a text holds them itself they are escaped.
 _MARK, _ESCAPE, _IS_MARK, _IS_ESCAPE = "\ue000", "\ue001", "\ue002", "\ue003"
 
@@ -267,6 +269,39 @@ def surrogate(entity: Column, key: str) -> Column:
     return _bound(F.struct(entity.alias("entity"), kind_of(entity).alias("kind")), use)
 
 
+def _among(word: Column, words: Column) -> Column:
+    """Whether a sorted array holds a word, by halving: an array or a map would be searched from its start."""
+
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.shiftright(a["low"] + a["high"], 1)
+        below = F.get(words, middle) < word
+        return F.when(a["low"] < a["high"], F.struct(F.when(below, middle + 1).otherwise(a["low"]).alias("low"), F.when(below, a["high"]).otherwise(middle).alias("high"))).otherwise(a)
+
+    start = F.struct(F.lit(0).alias("low"), F.size(words).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(words)))), start, halve, lambda a: F.coalesce(F.get(words, a["low"]) == word, F.lit(False)))
+
+
+def _marked_words(text: Column, words: Column, longest: Column) -> Column:
+    """``text`` with marks around the sorted ``words`` where they stand alone or end a word of several parts.
+
+    ``longest`` is the length of the longest of them.  Each word of the
+    text is looked up once, whatever the number of names.
+    """
+
+    def marked(run: Column) -> Column:
+        # the longest ending of a run that is one of the words; endings longer than all words are not built
+        def longer(a: Column, part: Column) -> Column:
+            tail = F.when(F.length(a["tail"]) + F.length(part) <= longest, F.concat(part, a["tail"]))
+            return _bound(tail, lambda t: F.struct(t.alias("tail"), F.when(t.isNotNull() & _among(t, words), t).otherwise(a["best"]).alias("best")))
+
+        ends = F.reverse(F.split(run, r"(?<=['’-])(?=\p{Lu})"))
+        best = F.aggregate(ends, F.struct(F.lit("").alias("tail"), F.lit("").alias("best")), longer, lambda a: a["best"])
+        return _bound(best, lambda b: F.when(b == "", run).otherwise(F.concat(F.substring(run, F.lit(1), F.length(run) - F.length(b)), F.lit(_MARK), b, F.lit(_MARK))))
+
+    pieces = F.split(F.regexp_replace(text, _RUN, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    return F.array_join(F.transform(pieces, lambda x, i: F.when(i % 2 == 1, marked(x)).otherwise(x)), "")
+
+
 def parts_of(text: Column) -> Column:
     """A text cut at its entities: text, entity, text, ... with marks escaped; one part where there is none.
 
@@ -285,11 +320,11 @@ def parts_of(text: Column) -> Column:
 
     def again(parts: Column) -> Column:
         def use(words: Column) -> Column:
-            pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(words, "|"), F.lit(r")(?![\p{L}'’-])"))
-            new = F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, pattern, F.lit(f"{_MARK}$0{_MARK}"))).otherwise(x))
+            longest = F.array_max(F.transform(words, lambda w: F.length(w)))
+            new = _bound(longest, lambda most: F.transform(parts, lambda x, i: F.when(i % 2 == 0, _marked_words(x, words, most)).otherwise(x)))
             return F.when(F.size(words) > 0, F.split(F.array_join(new, _MARK), _MARK, -1)).otherwise(parts)
 
-        return _bound(mentions(parts), use)
+        return _bound(F.sort_array(mentions(parts)), use)
 
     return _bound(F.split(marked, _MARK, -1), again)
 

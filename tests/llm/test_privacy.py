@@ -146,6 +146,25 @@ def test_later_mentions_of_a_name(spark):
     assert c[2] == c[3] != "Quell" and c[1] != "Xandra"
 
 
+def test_mentions_within_words_of_several_parts(spark):
+    got = anonymised(spark, ["Mr Marie Quell-Berg and Ms Quell and Ms Berg. Quell, Berg, Anne-Marie, d'Quell, Marie, Marie-X, X-Quell-Berg, Quell-Berg, Quell’Berg, xQuell, Quell2, Berg-."])[0]
+    m = re.fullmatch(r"Mr (\w+) (\w+-\w+) and Ms (\w+) and Ms (\w+)\. (\w+), (\w+), Anne-(\w+), d'(\w+), (\w+), Marie-X, X-(\w+-\w+), (\w+-\w+), Quell’(\w+), xQuell, (\w+)2, Berg-\.", got)
+    marie, both, quell, berg = m.groups()[:4]
+    assert m.groups()[4:] == (quell, berg, marie, quell, marie, both, both, berg, quell) and {marie, both, quell, berg}.isdisjoint({"Marie", "Quell-Berg", "Quell", "Berg"})
+
+
+def test_many_names_in_one_text(spark):
+    import time
+
+    word = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(5)).capitalize()
+    text = lambda n: " ".join(f"Mr {word(k)} spoke, then {word(k)} left." for k in range(n))
+    cut = lambda n: spark.createDataFrame([(text(n),)], "text string").select(F.size(P.parts_of(F.col("text")))).first()[0]
+    assert cut(100) == 401
+    began = time.perf_counter()
+    assert cut(80_000) == 4 * 80_000 + 1
+    assert time.perf_counter() - began < 60
+
+
 def mod97(iban):
     s = iban.replace(" ", "")
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
