@@ -27,13 +27,21 @@ _OUTSIDE = {"head", "nav", "header", "footer", "aside", "form", "button", "menu"
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "picture", "source", "input", "object", "canvas", "math", "semantics", "annotation", "mi", "mo", "mn", "ms", "mtext", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mtable", "mtr", "mtd", "mstyle", "mspace"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words of class, id and role that mark page furniture or content.
-_FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "adslot", "adunit", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "submenu", "topbar", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "header", "masthead", "comment", "comments", "commentlist", "commentform", "discussion", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "cookiebar", "cookiebanner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
+_FURNITURE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "adslot", "adunit", "banner", "sponsor", "sponsored", "promo", "promotion", "nav", "navbar", "navigation", "menu", "submenu", "topbar", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer", "header", "masthead", "comment", "comments", "commentlist", "commentform", "discussion", "disqus", "respond", "reply", "replies", "notice", "cookie", "cookies", "cookiebar", "cookiebanner", "consent", "gdpr", "alert", "popup", "modal", "overlay", "share", "sharing", "social", "related", "recommended", "subscribe", "subscription", "newsletter", "signup", "login", "form", "search", "widget", "pagination", "pager", "toolbar", "complementary", "contentinfo", "dialog", "hidden"}
 _CONTENT = {"article", "content", "post", "entry", "story", "main", "body", "text", "articlebody"}
+#: Names that wrappers of whole pages bear too, and headings that name their section's head.
+_WEAK = {"header", "form", "banner", "widget", "search", "notice", "alert", "overlay", "modal", "promo", "promotion", "related"}
+_OF_HEADINGS = {"header", "banner", "masthead"}
+#: Words beside which a furniture word still says what an element is, where the name is an id within content.
+_HOLDERS = {"box", "list", "area", "section", "wrapper", "wrap", "container", "block", "posts", "articles", "links", "bar", "slot", "unit", "inner", "site", "page", "top", "bottom", "left", "right"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: No tag costs less.
 LEAST = -0.01
 _ABOUT = {"has", "with", "no", "without", "is", "not"}
 #: Classes that hide an element; in others, as overflow-hidden and hidden-xs, the word says something else.
 _HIDING = {"hidden", "is-hidden", "visually-hidden"}
+#: A name of these words alone, with "side", is a sidebar's; side-by-side is a layout.
+_SIDES = {"side", "left", "right", "col", "column", "box", "area", "content"}
 _SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -46,27 +54,39 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
-def _kind(name: str, attributes: str) -> str:
-    """"out" for furniture, "in" for marked content, else ""."""
+def _kind(name: str, attributes: str, within: bool = False) -> tuple[str, bool]:
+    """"out" for furniture, "in" for marked content, else "", and whether it is furniture by a weak name alone.
+
+    ``within`` marked content an id made of other words too, as form-factor, is a
+    place in the text.
+    """
     if name in _OUTSIDE:
-        return "out"
+        return "out", name in ("form", "header")
     if attributes:
         if _MAYBE_HIDDEN.search(attributes) and _hidden(attributes):
-            return "out"
-        words = set()
+            return "out", False
+        words, furniture = set(), set()
         for m in _CLASS.finditer(attributes):
+            is_id = m[0][:2].lower() == "id"
             for name_ in (m[1] or m[2] or m[3] or "").lower().split():
-                own = set(_SPLIT.split(name_))
+                own = set(_SPLIT.split(name_)) - {""}
                 if name_ in _HIDING:
-                    words.add("hidden")
+                    furniture.add("hidden")
                 own.discard("hidden")
-                if not own & _ABOUT:  # "has-sidebar" says what an element holds, not what it is
-                    words |= own
-        if words & _FURNITURE and name not in ("body", "html", "article", "main"):
-            return "out"
+                if own & _ABOUT:  # "has-sidebar" says what an element holds, not what it is
+                    continue
+                words |= own
+                if not (within and is_id and own - _FURNITURE - _HOLDERS):
+                    furniture |= own & _FURNITURE
+                if "side" in own and own <= _SIDES:
+                    furniture.add("sidebar")
+        if name in _HEADINGS:
+            furniture -= _OF_HEADINGS
+        if furniture and name not in ("body", "html", "article", "main"):
+            return "out", furniture <= _WEAK
         if words & _CONTENT:
-            return "in"
-    return "in" if name in ("article", "main") else ""
+            return "in", False
+    return "in" if name in ("article", "main") else "", False
 
 
 class _Open:
@@ -141,21 +161,41 @@ def markup(page: str) -> Iterator[tuple[int, int, str | None, str, str]]:
 
 
 def tokens(page: str) -> list[tuple]:
+    """The tokens of a page (`_scan`), whatever the names of the elements around its text.
+
+    An element of a weak name, as a form or a header, that holds most of a page's
+    text is none of its furniture, where nothing else is marked as content.
+    """
+    held: list[tuple[int, int]] = []
+    found, total, marked = _scan(page, frozenset(), held)
+    around = frozenset(at for at, n in held if 2 * n > total)
+    return _scan(page, around, [])[0] if around and not marked else found
+
+
+def _scan(page: str, spared: frozenset[int], held: list[tuple[int, int]]) -> tuple[list[tuple], int, bool]:
     """A page as a list of ("w", text, in a link), ("t", name) and ("b",), where a block ends.
 
     Page furniture and raw elements are tags alone: their text never scores.
     Elements that nobody closes end with the one around them.  The work grows
-    with the page's length, whatever is nested or left open in it.
+    with the page's length, whatever is nested or left open in it.  Elements that
+    start at ``spared`` places are no furniture; ``held`` gets (place, characters)
+    of those of weak names.  Also the characters of all text, and whether marked
+    content outside furniture has any.
     """
     out: list[tuple] = []
+    total, marked = 0, False
+    weak: dict[int, tuple[int, int]] = {}  # depth of an open element: its place, the characters before it
     own = _Open()
     ends: dict[str, tuple[int, int]] = {}  # the next end tag of a raw element, where one was looked for
     position = 0
     for start, end, name, closing, attributes in markup(page):
         if start < position:  # within a raw element
             continue
-        if start > position and not own.furniture:
-            out.append(("w", page[position:start], own.links > 0))
+        if start > position:
+            total += len(page[position:start].strip())
+            if not own.furniture:
+                marked = marked or own.content > 0 and bool(page[position:start].strip())
+                out.append(("w", page[position:start], own.links > 0))
         position = end
         if name is None:
             continue
@@ -180,6 +220,8 @@ def tokens(page: str) -> list[tuple]:
                 continue  # the end tag of something outside the furniture cannot close it
             while len(own.stack) > at:
                 x = own.pop()
+                if found := weak.pop(len(own.stack), None):
+                    held.append((found[0], total - found[1]))
                 out.append(("t", "/" + (x[3] or x[0])))
             continue
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and own.solid:
@@ -188,15 +230,39 @@ def tokens(page: str) -> list[tuple]:
             if own.stack[at][0] == name and not own.furniture_from(at):
                 while len(own.stack) > at:
                     own.pop()
-        kind = _kind(name, attributes)
+                    if found := weak.pop(len(own.stack), None):
+                        held.append((found[0], total - found[1]))
+        kind, is_weak = _kind(name, attributes, own.content > 0)
+        if start in spared:
+            kind = ""
+        elif kind == "out" and name == "header" and own.content and not own.furniture and not attributes:
+            kind = ""  # an article's own head, with its title
         if own.content:  # within marked content nothing but its end is a border
             kind = "inner out" if kind == "out" else ""
-        out.append(("t", kind if kind else name))
+        if kind != "in" or own.furniture or not _joined(out):
+            out.append(("t", kind if kind else name))
         if name not in _VOID and not attributes.endswith("/"):
+            if is_weak and kind.endswith("out"):
+                weak[len(own.stack)] = start, total
             own.push(name, kind)
-    if position < len(page) and not own.furniture:
-        out.append(("w", page[position:], own.links > 0))
-    return out
+    if position < len(page):
+        total += len(page[position:].strip())
+        if not own.furniture:
+            marked = marked or own.content > 0
+            out.append(("w", page[position:], own.links > 0))
+    held += [(at, total - before) for at, before in weak.values()]
+    return out, total, marked
+
+
+def _joined(out: list[tuple]) -> bool:
+    """Whether marked content has ended right before; if so, without its end: what follows goes on with it."""
+    k = len(out) - 1
+    while k >= 0 and (out[k][0] == "b" or out[k][0] == "w" and not out[k][1].strip()):
+        k -= 1
+    if k >= 0 and out[k] == ("t", "/in"):
+        del out[k]
+        return True
+    return False
 
 
 def decoded(text: str) -> str:

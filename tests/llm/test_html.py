@@ -26,6 +26,55 @@ def test_names_of_classes():
     assert H.extract(page, W) == "The text of the page is this one here."
 
 
+def test_names_alone_do_not_take_a_page():
+    text = "The text of the page is this one here, and it has some words more."
+    for page in (
+        f'<body><form id=aspnetForm><div><nav><a href=x>Home</a></nav><p>{text}</p></div></form></body>',
+        f'<body><form id="aspnetForm"><div class="header">Site</div><article><p>{text}</p></article></form></body>',
+        f'<body><div class="side-by-side"><article><p>{text}</p></article></div></body>',
+        f"<body><header><main><p>{text}</p></main></header><footer>Foot</footer></body>",
+        f'<article><div id="form-factor"><p>{text}</p></div></article>',
+        f'<article><section id="related-work"><p>{text}</p></section></article>',
+        f'<div class="page-header"><div id="search"><p>{text}</p></div></div>',
+    ):
+        assert H.extract(page, W) == text, page
+    assert H.extract(f'<article><h2 class="section-header">Its heading</h2><p>{text}</p></article>', W) == f"Its heading\n{text}"
+    assert H.extract(f"<article><header><h1>Title</h1></header><p>{text}</p></article>", W) == f"Title\n{text}"
+    assert H.extract("<body><article><p>" + "long " * 40 + "text.</p></article> <article><p>Second short part.</p></article></body>", W).endswith("text.\nSecond short part.")
+
+
+def test_furniture_that_is_longer_than_the_text_goes():
+    text, much = "The text of the page is this one here.", "many words of others " * 30
+    for tag in ('div class="sidebar"', 'div class="side"', 'div class="side-col"', 'div id="comments"', "form", "header", "aside", "footer", 'div class="related-posts"', "nav"):
+        name = tag.split()[0]
+        assert H.extract(f"<body><article><p>{text}</p></article><{tag}><p>{much}</p></{name}></body>", W) == text, tag
+    for tag in ('div id="related-posts"', 'div class="related"', 'section id="comments"', 'h3 class="comments-title"', 'div id="search-box"'):
+        name = tag.split()[0]
+        assert H.extract(f"<body><article><p>{text}</p><{tag}><b>{much}</b></{name}></article></body>", W) == text, tag
+
+
+def brute_force_run(scored):
+    best, top = (0, 0), 0.0
+    for i in range(len(scored)):
+        for j in range(i + 1, len(scored) + 1):
+            total = sum(w for _, w, _ in scored[i:j]) + sum(t for t, _, _ in scored[i + 1 : j])
+            if total > top:
+                best, top = (i, j), total
+    return best
+
+
+def test_best_run_is_the_best_of_all():
+    import random
+
+    r = random.Random(3)
+    for _ in range(300):
+        scored = [(-float(r.randint(1, 9)), float(r.randint(0, 9)), "x") for _ in range(r.randint(0, 12))]
+        i, j = H.best_run(scored)
+        a, b = brute_force_run(scored)
+        total = lambda i, j, s=scored: sum(w for _, w, _ in s[i:j]) + sum(t for t, _, _ in s[i + 1 : j])
+        assert total(i, j) == total(a, b)
+
+
 def test_words_of_attributes_that_hide_nothing():
     text = "The text of the page is this one here."
     for tag in ('article style="overflow:hidden"', 'div class="content overflow-hidden"', 'div class="is-hidden-mobile"', 'div class="post hidden-xs"', 'article data-x="hidden"', "article title='a hidden place' data-a=\"display:none\"", 'article data-hidden="1"', "div hidden=false", 'article aria-hidden="false"'):
