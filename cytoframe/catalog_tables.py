@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cytoframe import schemas
-from cytoframe.catalog import CELLS_SQL, KEYS, POINTS_SQL, REGISTRY_SQL, cells, profiles, query, registry, rounded, table
+from cytoframe.catalog import CELLS_SQL, KEYS, PIXELS_SQL, POINTS_SQL, REGISTRY_SQL, cells, patch, profiles, query, registry, rounded, table
 from cytoframe.functions import geometry as G
 from cytoframe.functions import identity as ID
 from cytoframe.functions import vectors as V
 from cytoframe.operators import aggregates as A
+from cytoframe.operators import density as D
 from cytoframe.operators import export as X
 from cytoframe.operators import filtering as FL
 from cytoframe.operators import joins as J
@@ -331,3 +332,19 @@ def pair_numbers(spark, sf_dir):
 def imagej_description(spark, sf_dir):
     f = G.imagej_fields(F.concat(F.lit("ImageJ=1.53\nspacing = 0.065\n slices = "), "o_custkey", F.lit("\nnote = a = b")))
     return table(spark, sf_dir, "orders").select("o_orderkey", f["spacing"].alias("pixel"), f["slices"].alias("slices"), f["none"].alias("missing"))
+
+
+# ---- densities -------------------------------------------------------------
+
+
+@query(f"""WITH {PIXELS_SQL}, l AS (SELECT image_id, max(value) AS len FROM px GROUP BY 1), e AS (SELECT quantile_cont(len, [0, 0.2, 0.4, 0.6, 0.8, 1]) AS e FROM l),
+c AS (SELECT image_id, len(list_filter(e, lambda v: v <= l.len)) - 1 AS k FROM l, e WHERE l.len < e[6]), s AS (SELECT k, value AS w, x / 7 AS x, y / 7 AS y FROM px JOIN c USING (image_id) WHERE value > 0.25),
+m AS (SELECT k, count(*) AS n, sum(w) AS s, sum(w * w) AS s2, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * x * x) AS sxx, sum(w * y * y) AS syy, sum(w * x * y) AS sxy FROM s GROUP BY 1),
+v AS (SELECT k, n, (sxx / s - mx * mx) * f AS cxx, (syy / s - my * my) * f AS cyy, (sxy / s - mx * my) * f AS cxy FROM (SELECT *, pow(s * s / s2, -1 / 3) / (1 - s2 / (s * s)) AS f FROM m WHERE n > 2)),
+g AS (SELECT r, c FROM range(13) t(r), range(8) u(c)), z AS (SELECT k, n, r, g.c, sum(w * exp(-0.5 * (cyy * pow(g.c / 7 - x, 2) + cxx * pow(r / 12 - y, 2) - 2 * cxy * (g.c / 7 - x) * (r / 12 - y)) / (cxx * cyy - cxy * cxy))) AS z FROM s JOIN v USING (k), g GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS length_class, n AS n_spots, CAST(r AS INTEGER) AS grid_row, CAST(c AS INTEGER) AS grid_column, round(z / max(z) OVER (PARTITION BY k), 6) AS density FROM z""")
+def spot_density(spark, sf_dir):
+    px = patch(spark, sf_dir)
+    classes = D.length_classes(px.groupBy(F.col("image_id").alias("cell_id")).agg(F.max("value").alias("length")))
+    spots = px.where("value > 0.25").select(F.col("image_id").alias("cell_id"), (F.col("x") / 7).alias("x"), (F.col("y") / 7).alias("y"), F.col("value").alias("peak_intensity"))
+    return rounded(D.spot_density(spots, classes, across=8, along=13))
