@@ -86,6 +86,13 @@ def test_crops_classes_and_labels(spark):
     assert {r.drug for r in L.apply_registry(keyed, registry, "outer").collect()} == {"INH", "RIF", "UNK"}
 
 
+def test_keys_hold_whole_numbers(spark):
+    cells = spark.createDataFrame([("/in/12345_s01.tif",), ("/in/2345_s01.tif",), ("x_0101_s101_m2.tif",), ("t7_rep2_s03",), ("345_s01",)], "source_path string")
+    registry = spark.createDataFrame([("12345_s01", "A"), ("2345_s01", "B"), ("0101_s10", "C"), ("0101_s101", "D"), ("t7_rep2_s03", "E")], schemas.PADMAP)
+    got = L.apply_registry(L.with_key(cells, "source_path"), registry)
+    assert {r.source_path: r.drug for r in got.collect()} == {"/in/12345_s01.tif": "A", "/in/2345_s01.tif": "B", "x_0101_s101_m2.tif": "D", "t7_rep2_s03": "E", "345_s01": "UNK"}
+
+
 def test_numbers_within_each_drug(spark):
     c = spark.createDataFrame([(f"f{i % 5}", i, "A" if i % 3 else "UNK" if i % 2 else None, f"h{i}") for i in range(60)], "source_filename string, label int, drug string, Cell_ID string")
     got = {(r.source_filename, r.label): r.Cell_ID for r in L.numbered_ids(c).collect()}
