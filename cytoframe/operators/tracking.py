@@ -83,11 +83,12 @@ def lineages(cells: DataFrame, links: DataFrame) -> DataFrame:
 
     One round for each frame: a daughter of several mothers follows the least.
     """
-    first = links.groupBy("daughter").agg(F.min("mother").alias("mother"))
+    # Read once, not in every round; merge hints, since sides that grow with the cells are not for the driver to broadcast.
+    first = checkpointed(links.groupBy("daughter").agg(F.min("mother").alias("mother")))
     rank = F.row_number().over(Window.partitionBy("mother").orderBy("daughter"))
     n = F.count("*").over(Window.partitionBy("mother"))
-    steps = first.withColumns({"suffix": F.when(n > 1, F.concat(F.lit("."), rank.cast("string"))).otherwise("")})
-    founders = cells.join(first, cells.cell_id == first.daughter, "left_anti")
+    steps = checkpointed(first.withColumns({"suffix": F.when(n > 1, F.concat(F.lit("."), rank.cast("string"))).otherwise("")})).hint("merge")
+    founders = cells.join(first.hint("merge"), cells.cell_id == first.daughter, "left_anti")
     from cytoframe.operators.batching import ranked
 
     done = checkpointed(ranked(founders.select("t", "cell_id"), "t", "cell_id").select("cell_id", (F.col("i") + 1).cast("string").alias("lineage")))

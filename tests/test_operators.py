@@ -261,6 +261,22 @@ def test_tracking(spark):
     assert again.count() == mask.count()
 
 
+def test_lineages_read_links_once_and_broadcast_none(spark, tmp_path, monkeypatch):
+    spark.range(1, 400).selectExpr("cast(id as string) daughter", "cast(floor(id / 3) as string) mother").write.parquet(str(tmp_path / "links"))
+    links, cells = spark.read.parquet(str(tmp_path / "links")), spark.range(400).selectExpr("0 t", "cast(id as string) cell_id")
+    plans, real = [], T.checkpointed
+
+    def kept(df):
+        out = real(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return out
+
+    monkeypatch.setattr(T, "checkpointed", kept)
+    names = {r.cell_id: r.lineage for r in T.lineages(cells, links).collect()}
+    assert len(names) == 400 and names["0"] == "1" and names["1"] == "1.1" and names["5"] == "1.1.3" and names["399"].count(".") == 5
+    assert sum("FileScan" in p for p in plans) == 1 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_assignment_takes_each_cell_once(spark):
     mask = _movie(spark)
     shape = P.region_properties(mask, ("t", "label")).withColumns({"cell_id": T.cell_name(F.col("t"), F.col("label")), "features": F.array("major_axis", "minor_axis", F.col("area").cast("double")), "area": F.col("area").cast("double")})
