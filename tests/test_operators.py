@@ -93,6 +93,30 @@ def test_keys_hold_whole_numbers(spark):
     assert {r.source_path: r.drug for r in got.collect()} == {"/in/12345_s01.tif": "A", "/in/2345_s01.tif": "B", "x_0101_s101_m2.tif": "D", "t7_rep2_s03": "E", "345_s01": "UNK"}
 
 
+def test_sessions_read_documents_once(spark, tmp_path):
+    cell = lambda label, included=True, central=False: {"label": label, "included": included, "is_central": central}
+    docs = [("a", 2, [cell(1), cell(2), cell(2, False)]), ("b", None, [cell(1), cell(3, False, True), cell(3), cell(4, True, True)]), ("c", None, [cell(1)]), ("d", 1, [cell(1)]), ("e", 1, []), ("f", 1, None)]
+    spark.createDataFrame([{"image_id": i, "source_path": i, "central_label": k, "cells": c} for i, k, c in docs], schemas.METADATA).write.parquet(str(tmp_path / "d"))
+    d, ids = spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame([(i,) for i in "aabcef"], "image_id string")
+    notes = spark.createDataFrame([("b", {}, {"3": "include", "1": "exclude"})], "image_id string, notes map<string,string>, overrides map<string,string>")
+    got = J.session_cells(d, notes, ids, ids, True, True)
+    assert rows(got.select("image_id", "label", "override"), "image_id", "label") == [("a", 2, None), ("b", 3, "include"), ("b", 3, "include")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert J.session_cells(d, notes, ids, ids, False, False).count() == 8
+    kept = J.masks_with_images(ids.distinct(), d, ids.distinct())
+    assert rows(kept.groupBy("image_id").count(), "image_id") == [("a", 2), ("b", 3), ("c", 1)]
+    # What is not included goes before documents are joined: the filter lies below both joins.
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.rindex("Join") < plan.index("filter(cells")
+
+
+def test_masked_images_build_documents_once(spark):
+    from cytoframe import catalog
+
+    plan = catalog.queries()["masked_images"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1
+
+
 def test_numbers_within_each_drug(spark):
     c = spark.createDataFrame([(f"f{i % 5}", i, "A" if i % 3 else "UNK" if i % 2 else None, f"h{i}") for i in range(60)], "source_filename string, label int, drug string, Cell_ID string")
     got = {(r.source_filename, r.label): r.Cell_ID for r in L.numbered_ids(c).collect()}
@@ -274,7 +298,8 @@ def test_lineages_read_links_once_and_broadcast_none(spark, tmp_path, monkeypatc
     monkeypatch.setattr(T, "checkpointed", kept)
     names = {r.cell_id: r.lineage for r in T.lineages(cells, links).collect()}
     assert len(names) == 400 and names["0"] == "1" and names["1"] == "1.1" and names["5"] == "1.1.3" and names["399"].count(".") == 5
-    assert sum("FileScan" in p for p in plans) == 1 and not any("BroadcastHashJoin" in p for p in plans)
+    # The one broadcast is that of where the founders' ranges start, a number for each partition.
+    assert sum("FileScan" in p for p in plans) == 1 and [("_start" in p) for p in plans if "BroadcastHashJoin" in p] == [True]
 
 
 def test_assignment_takes_each_cell_once(spark):
