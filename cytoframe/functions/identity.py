@@ -93,15 +93,14 @@ def filename_metadata(filename: Column) -> Column:
     The plate is the token of four digits right after the first one of six; the
     scene is the first ``s`` and digits, the position the first ``m`` and digits.
     """
-    tokens = F.split(stem(filename), "_")
-    dates = F.filter(F.transform(tokens, lambda t, i: F.when(t.rlike("^[0-9]{6}$"), i)), lambda i: i.isNotNull())
-    after = F.get(tokens, F.get(dates, F.lit(0)) + 1)
-    plate = F.when(after.rlike("^[0-9]{4}$"), after)
+    name = stem(filename)
 
-    def first(letter: str) -> Column:
-        return F.substring(F.get(F.filter(tokens, lambda t: t.rlike(f"^{letter}[0-9]+$")), F.lit(0)), F.lit(2), F.lit(1 << 20))
+    def told(pattern: str) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(name, f"(?:^|_){pattern}", 1), F.lit("")), F.lit("UNK"))
 
-    return F.struct(F.coalesce(plate, F.lit("UNK")).alias("plate"), F.coalesce(first("s"), F.lit("UNK")).alias("scene"), F.coalesce(first("m"), F.lit("UNK")).alias("position"))
+    # The first token of six digits decides, whatever follows it: the group is empty where that is no token of four.
+    plate = told(r"[0-9]{6}(?:_(?:([0-9]{4})(?=_|\z))?|\z)")
+    return F.struct(plate.alias("plate"), told(r"s([0-9]+)(?:_|\z)").alias("scene"), told(r"m([0-9]+)(?:_|\z)").alias("position"))
 
 
 def _quoted(text: str) -> str:

@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import math
+import re
 
 import numpy as np
 import pytest
@@ -54,6 +56,39 @@ def test_filename_metadata(spark, name, want):
     assert tuple(one(spark, ID.filename_metadata(F.lit(name)).alias("m")).m) == want
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_filename_metadata_token_by_token(spark):
+    tokens = ["060225", "0101", "01012", "0602255", "s3", "m12", "s", "ms3", "s3x", "", "x.y"]
+    names = ["_".join(t) + end for n in (1, 2, 3) for t in itertools.product(tokens, repeat=n) for end in (".tif", "")]
+
+    def plain(name):
+        found = re.sub(r"(?<=.)\.[^.]*$", "", name).split("_")
+        first = lambda c: next((t[1:] for t in found if re.fullmatch(f"{c}[0-9]+", t)), "UNK")
+        at = next((i for i, t in enumerate(found) if re.fullmatch("[0-9]{6}", t)), None)
+        after = found[at + 1] if at is not None and at + 1 < len(found) else ""
+        return after if re.fullmatch("[0-9]{4}", after) else "UNK", first("s"), first("m")
+
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", ID.filename_metadata(F.col("n")).alias("m"))
+    assert {r.n: tuple(r.m) for r in df.collect()} == {n: plain(n) for n in names}
+    assert tuple(one(spark, ID.filename_metadata(F.lit(None).cast("string")).alias("m")).m) == ("UNK", "UNK", "UNK")
+    assert "lambda" not in _plan(df)  # three searches in one text, no loops over its tokens for each
+
+
+def test_basename_of_both_separators(spark):
+    paths = {"/a/b.tif": "b.tif", "a\\b/c": "c", "a/b\\c": "c", "b": "b", "a/": "", "a\\": "", "": "", "é/ü.tif": "ü.tif"}
+    df = spark.createDataFrame([(p,) for p in paths], "p string").select("p", ID.basename(F.col("p")).alias("b"))
+    assert {r.p: r.b for r in df.collect()} == paths and "split(" not in _plan(df)
+
+
+def test_numbers_are_read_once(spark):
+    texts = {"1 2, 3e1;-4 x .5": [[1.0, 2.0], [30.0, -4.0]], "": [], "7": [], "1 2 1e999 4": [[1.0, 2.0], [float("inf"), 4.0]], None: []}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ID.numbers_in(F.col("t"), 2).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == texts and _plan(df).count("regexp_extract_all") == 1
+
+
 def test_text_helpers(spark):
     r = one(
         spark,
