@@ -9,7 +9,7 @@ SECRET_WORDS = ("secret", "password", "token", "api_key")
 
 
 def basename(path: Column) -> Column:
-    return F.element_at(F.split(path, "[/\\\\]"), -1)
+    return F.substring_index(F.substring_index(path, "/", -1), "\\", -1)
 
 
 def stem(path: Column) -> Column:
