@@ -180,9 +180,15 @@ def stamp(at: Column) -> Column:
 
 def numbers_in(text: Column, width: int = 6) -> Column:
     """Rows of ``width`` numbers that a text lists one after another."""
-    values = F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"), F.lit(0)), lambda v: v.try_cast("double")), lambda v: v.isNotNull())
-    rows = F.floor(F.size(values) / width).cast("int")
-    return F.when(rows > 0, F.transform(F.sequence(F.lit(0), rows - 1), lambda i: F.slice(values, i * width + 1, width))).otherwise(F.array().cast("array<array<double>>"))
+    listed = F.regexp_extract_all(text, F.lit(r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"), F.lit(0))
+
+    def rows(values: Column) -> Column:
+        n = F.floor(F.size(values) / width).cast("int")
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(values, i * width + 1, width))).otherwise(F.array().cast("array<array<double>>"))
+
+    # As the one element of an array: a variable, read once, where a column would be worked out anew for each row.
+    values = F.filter(F.transform(listed, lambda v: v.try_cast("double")), lambda v: v.isNotNull())
+    return F.get(F.transform(F.array(values), rows), F.lit(0))
 
 
 def redacted(config: object) -> object:
