@@ -64,6 +64,21 @@ def test_published_cell_by_cell(spark):
     assert got[0].cell_id == "sc_" + hashlib.sha256(b"b.tif|1|0,0,5,5").hexdigest()[:16] and got[3].cell_id == got[4].cell_id == "sc_" + hashlib.sha256(b"9|1|0,0,5,5").hexdigest()[:16]
 
 
+def test_cells_are_shuffled_as_narrow_as_they_are_read(spark):
+    cells, images, registry = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("lineitem", "orders", "part"))
+    named = [common.selected(t, CELLS[n]) for t, n in ((cells, "cells"), (images, "images"), (registry, "registry"))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        late = publish_cells.published(cells, *named[1:], CELLS, CELLS["cells"])
+        plan = late._jdf.queryExecution().executedPlan().toString()
+        assert rows(late) == rows(publish_cells.published(*named, CELLS))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    # The reasons and boxes are made above the last shuffle alone, which is that of the months.
+    assert "below_min" not in plan[plan.index("REBALANCE") :] and "below_min" in plan[: plan.index("REBALANCE")]
+    assert "bbox_min_row" not in plan[plan.index("REBALANCE") :]
+
+
 def test_no_cells(spark, tmp_path):
     write_cells(spark, str(tmp_path / "in"), "false")
     counts = publish(spark, str(tmp_path / "in"), str(tmp_path / "out"))
