@@ -166,18 +166,26 @@ def isodata_thresholds(pixels: DataFrame, keys: tuple[str, ...] = KEY, bins: int
     counts = pixels.join(limits, list(keys)).groupBy(*keys, "_lo", width.alias("_w"), place.cast("int").alias("_b")).agg(F.count("*").alias("_k"))
     rows = counts.groupBy(*keys).agg(F.collect_list(F.struct((F.col("_lo") + (F.col("_b") + 0.5) * F.col("_w")).alias("c"), F.col("_k").alias("k"))).alias("_h"))
 
-    def side(t: Column, low: bool) -> Column:
-        part = F.filter("_h", lambda b: b["c"] <= t if low else b["c"] > t)
-        n = F.aggregate(part, F.lit(0).cast("long"), lambda s, b: s + b["k"])
-        return F.try_divide(F.aggregate(part, F.lit(0.0), lambda s, b: s + b["c"] * b["k"]), n)
+    def step(state: Column, _: Column) -> Column:
+        # Both sides in one pass over the histogram, and no more passes once the threshold stays: a `when` works out one branch.
+        t = state["t"]
 
-    def step(t: Column, _: Column) -> Column:
-        low, high = side(t, True), side(t, False)
-        return F.coalesce((low + high) / 2, t)
+        def add(s: Column, b: Column) -> Column:
+            low, w = b["c"] <= t, b["c"] * b["k"]
+            none, zero = F.lit(0).cast("long"), F.lit(-0.0)
+            return F.struct((s["n"] + F.when(low, b["k"]).otherwise(none)).alias("n"), (s["s"] + F.when(low, w).otherwise(zero)).alias("s"), (s["m"] + F.when(low, none).otherwise(b["k"])).alias("m"), (s["r"] + F.when(low, zero).otherwise(w)).alias("r"))
+
+        def moved(s: Column) -> Column:
+            new = F.coalesce((F.try_divide(s["s"], s["n"]) + F.try_divide(s["r"], s["m"])) / 2, t)
+            return F.struct(new.alias("t"), (new == t).alias("done"))
+
+        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("m"), F.lit(0.0).alias("r"))
+        return F.when(state["done"], state).otherwise(F.aggregate("_h", start, add, moved))
 
     n = F.aggregate("_h", F.lit(0).cast("long"), lambda s, b: s + b["k"])
     start = F.aggregate("_h", F.lit(0.0), lambda s, b: s + b["c"] * b["k"]) / n
-    return rows.select(*keys, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step).alias("threshold"))
+    first = F.struct(start.alias("t"), F.lit(False).alias("done"))
+    return rows.select(*keys, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, step, lambda state: state["t"]).alias("threshold"))
 
 
 def threshold_mask(pixels: DataFrame, thresholds: DataFrame, keys: tuple[str, ...] = KEY, dark: bool = True) -> DataFrame:

@@ -249,6 +249,22 @@ def test_relational_images_agree_with_kernels(spark, picture):
     assert (plane(P.unfold_masks(P.fold(mp.withColumnRenamed("label", "v"), 24, 30, ("image_id",), "v").withColumnRenamed("pixels", "labels"))) == (mask > 0)).all()
 
 
+def test_isodata_stops_where_the_threshold_stays(spark):
+    import time
+
+    values = [((i * 37) % 251) ** 1.5 + (900 if i % 3 else 0) for i in range(1200)]
+    px = spark.createDataFrame([("a", i // 40, i % 40, v) for i, v in enumerate(values)], "image_id string, y int, x int, value double").coalesce(1)
+    lo, w = min(values), (max(values) - min(values)) / 256
+    places = [lo + (min(int((v - lo) // w), 255) + 0.5) * w for v in values]
+    t = sum(places) / len(places)
+    for _ in range(100):
+        low, high = [c for c in places if c <= t], [c for c in places if c > t]
+        t = (sum(low) / len(low) + sum(high) / len(high)) / 2
+    began = time.perf_counter()
+    assert P.isodata_thresholds(px, rounds=400_000).first().threshold == pytest.approx(t, rel=1e-9)
+    assert time.perf_counter() - began < 30  # passes over 256 bins in every one of these rounds would take minutes
+
+
 def test_tiles_cover_and_come_back(picture):
     img, _, px, _ = picture
     assert P.tile_origins(24, 10, 2) == [0, 6, 12, 14] and P.tile_origins(5, 10, 2) == [0]
