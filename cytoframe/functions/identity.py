@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -199,16 +201,23 @@ def redacted(config: object) -> object:
 
 
 #: A name with one of the words, an equals sign or colon, and what follows: a quoted text or one without spaces.
-_ASSIGNED_SECRET = rf"""([A-Za-z0-9_]*(?i:{"|".join(SECRET_WORDS)})[A-Za-z0-9_]*[ \t]*[=:][ \t]*)("[^"\n]*"|'[^'\n]*'|[^ \t\n\r"']+)"""
+#: It is looked for where a name starts, not at each of its characters.
+_ASSIGNED_SECRET = rf"""((?<![A-Za-z0-9_])[A-Za-z0-9_]*(?i:{"|".join(SECRET_WORDS)})[A-Za-z0-9_]*[ \t]*[=:][ \t]*)("[^"\n]*"|'[^'\n]*'|[^ \t\n\r"']+)"""
+
+
+def _may_have_secrets(text: Column) -> Column:
+    """Whether one of the words occurs at all, which most texts answer without the pattern."""
+    lower = F.lower(text)
+    return reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in SECRET_WORDS])
 
 
 def redacted_text(text: Column) -> Column:
     """A text in which the values that are assigned to secrets are masked; the names stay."""
-    return F.regexp_replace(text, _ASSIGNED_SECRET, "$1<redacted>")
+    return F.when(_may_have_secrets(text), F.regexp_replace(text, _ASSIGNED_SECRET, "$1<redacted>")).otherwise(text)
 
 
 def count_secrets(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_ASSIGNED_SECRET))
+    return F.when(_may_have_secrets(text), F.regexp_count(text, F.lit(_ASSIGNED_SECRET))).otherwise(F.when(text.isNotNull(), 0))
 
 
 def diagnose_log(text: Column) -> Column:

@@ -83,6 +83,21 @@ def test_basename_of_both_separators(spark):
     assert {r.p: r.b for r in df.collect()} == paths and "split(" not in _plan(df)
 
 
+def test_secrets_in_long_words(spark):
+    import time
+
+    long = "x" * 60_000
+    texts = {
+        long: (long, 0), f"{long} my_Token={long} y": (f"{long} my_Token=<redacted> y", 1), f"{long}token = 'a b'password:c": (f"{long}token = <redacted>password:<redacted>", 2), "tokens of a secret": ("tokens of a secret", 0),
+        "-API_KEYS\t: \"q\"token=z": ("-API_KEYS\t: <redacted>token=<redacted>", 2), "": ("", 0), None: (None, None),
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    began = time.perf_counter()
+    got = df.select("t", ID.redacted_text(F.col("t")).alias("r"), ID.count_secrets(F.col("t")).alias("n")).collect()
+    assert {r.t: (r.r, r.n) for r in got} == texts
+    assert time.perf_counter() - began < 15  # a search from each character of a long word takes its square
+
+
 def test_numbers_are_read_once(spark):
     texts = {"1 2, 3e1;-4 x .5": [[1.0, 2.0], [30.0, -4.0]], "": [], "7": [], "1 2 1e999 4": [[1.0, 2.0], [float("inf"), 4.0]], None: []}
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ID.numbers_in(F.col("t"), 2).alias("n"))
